@@ -15,6 +15,8 @@ from tidewater.functions.time import DATE_TIME
 
 DATABASE = "shop"
 
+_splits: dict[tuple[str, ...], int] = {}  # splits of each input seen so far
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -26,7 +28,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A large table has more splits than the cluster has cores and is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    source = tuple(df.inputFiles())
+    if source not in _splits:
+        _splits[source] = df.rdd.getNumPartitions()
+    return df.repartition(cores, *keys) if _splits[source] < cores else df
 
 
 def _text(value: Column) -> Column:
@@ -286,25 +291,23 @@ def static_changes(spark: SparkSession, sf: str) -> DataFrame:
     return _union([province, sku, unknown, marker])
 
 
-def change_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole log. A filter on ``table`` leaves only that table's branches in the plan."""
-    return _union(
-        [
-            make(spark, sf)
-            for make in (
-                order_detail_changes,
-                order_info_changes,
-                activity_changes,
-                coupon_changes,
-                payment_changes,
-                refund_changes,
-                cart_changes,
-                comment_changes,
-                user_changes,
-                static_changes,
-            )
-        ]
-    )
+LOG_TABLES = {
+    "order_detail": order_detail_changes,
+    "order_info": order_info_changes,
+    "order_detail_activity": activity_changes,
+    "order_detail_coupon": coupon_changes,
+    "payment_info": payment_changes,
+    "refund": refund_changes,  # order_refund_info and refund_payment
+    "cart_info": cart_changes,
+    "comment_info": comment_changes,
+    "user_info": user_changes,
+    "static": static_changes,
+}
+
+
+def change_log(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    """The change log, or its part about some tables. A filter on ``table`` prunes the branches of all others."""
+    return _union([LOG_TABLES[name](spark, sf) for name in names or LOG_TABLES])
 
 
 def broken(value: Column, seq: Column) -> Column:
@@ -372,9 +375,16 @@ def config_change_lines(spark: SparkSession, sf: str) -> DataFrame:
     return order.select(F.to_json(change).alias("value"))
 
 
-def events(spark: SparkSession, sf: str) -> DataFrame:
+def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A test table as a stream of its one file."""
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Events with a proper timestamp and the number inside ``props``."""
-    return table(spark, sf, "events").select(
+    source = stream_of(spark, sf, "events") if stream else spread(table(spark, sf, "events"), "event_id")
+    return source.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("et"),
         "user_id",
@@ -384,8 +394,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def app_log(spark: SparkSession, sf: str) -> DataFrame:
-    event, part = events(spark, sf), table(spark, sf, "part")
+def app_log(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
+    event, part = events(spark, sf, stream), table(spark, sf, "part")
     rows = event.join(part.select("p_partkey", "p_name"), F.col("k") == F.col("p_partkey"))
     kind, k = F.col("event_type"), F.col("k")
     ms = F.unix_millis("et")
@@ -431,9 +441,9 @@ def app_log_lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select(broken(F.col("value"), F.col("seq")).alias("value"))
 
 
-def readings(spark: SparkSession, sf: str) -> DataFrame:
+def readings(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Keyed readings ``key, sec, val`` with the arrival order ``seq``."""
-    return events(spark, sf).select(
+    return events(spark, sf, stream).select(
         F.concat(F.lit("u"), _text(F.col("user_id") % 20)).alias("key"),
         F.unix_seconds("et").cast("int").alias("sec"),
         F.col("k").alias("val"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.time import DATE_TIME
@@ -14,14 +14,26 @@ def word_count(lines: DataFrame) -> DataFrame:
     return flat_map_words(lines).groupBy("word").agg(F.count("*").alias("cnt"))
 
 
-def top_per_window(counts: DataFrame, n: int = 2) -> DataFrame:
+def top_per_window(counts: DataFrame, n: int = 2, salts: int = 32) -> DataFrame:
     """The ``n`` most frequent values per closed window, ties by value.
 
-    Analytic windows do not run on streams, so a second aggregation orders the counts of a window. It is a
-    maximum over the order, repeated ``n`` times by collecting only distinct values with their counts.
+    Analytic windows do not run on streams. Each window is cut into ``salts`` parts by a hash of the value, each
+    part keeps its best ``n`` and a last grouping orders the ``n * salts`` rows that are left of a window.
     """
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"), "val"))), 1, n)
-    rows = counts.groupBy("window").agg(best.alias("best")).select("window", F.posexplode("best").alias("pos", "row"))
+
+    def best(ranked: Column) -> Column:
+        return F.slice(F.sort_array(F.collect_list(ranked)), 1, n)
+
+    parts = (
+        counts.groupBy("window", F.pmod(F.xxhash64("val"), F.lit(salts)).alias("salt"))
+        .agg(best(F.struct((-F.col("cnt")).alias("neg"), "val")).alias("best"))
+        .select("window", F.explode("best").alias("row"))
+    )
+    rows = (
+        parts.groupBy("window")
+        .agg(best(F.col("row")).alias("best"))
+        .select("window", F.posexplode("best").alias("pos", "row"))
+    )
     return rows.select(
         F.date_format("window.end", DATE_TIME).alias("window_end"),
         (F.col("pos") + 1).alias("rnk"),
