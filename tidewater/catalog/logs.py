@@ -105,7 +105,7 @@ UNION ALL SELECT 'dirty', NULL, count(*) FROM log WHERE seq % 97 = 0
 )
 def log_routes(spark, sf):
     path = new_dir(spark, "log-routes")
-    warehouse.write_log(fx.app_log_lines(spark, sf), path)
+    warehouse.write_log(fx.app_log_lines(spark, sf), path, new_dir(spark, "log-staging"))
     rows = spark.read.schema("value string, route string").parquet(path)
     is_new = F.when(F.col("route") != "dirty", F.get_json_object("value", "$.common.is_new"))
     return rows.groupBy("route", is_new.alias("is_new")).agg(F.count("*").alias("n"))

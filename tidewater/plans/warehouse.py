@@ -42,16 +42,21 @@ def split_changes_stream(
     )
 
 
-def log_lines(lines: DataFrame) -> DataFrame:
-    """Log lines as ``route, value``: five routes of repaired records, and ``dirty`` for what is no record."""
-    parsed = parse(lines, schemas.APP_LOG)
-    good = routes(repair_new_flag(valid(parsed)))
-    dirty = dead_letters(parsed).select(F.lit("dirty").alias("route"), "value")
-    return good.unionByName(dirty)
+def stage_log(lines: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Parse log lines once into columns at ``path``; returns the valid records and the dead letters.
 
+    The steps after it read the log more than once and only some columns of it, which JSON text cannot offer.
+    """
+    parse(lines, schemas.APP_LOG).select("row", "bad").write.parquet(path)
+    staged = lines.sparkSession.read.parquet(path)
+    return valid(staged), dead_letters(staged)
 
-def write_log(lines: DataFrame, path: str) -> None:
-    write_by_target(log_lines(lines), path, "route")
+
+def write_log(lines: DataFrame, path: str, staging: str) -> None:
+    """Log lines into the folder of their route: five for repaired records, ``dirty`` for what is no record."""
+    log, bad = stage_log(lines, staging)
+    dirty = bad.select(F.lit("dirty").alias("route"), "value")
+    write_by_target(routes(repair_new_flag(log)).unionByName(dirty), path, "route")
 
 
 def keyword_summary(log: DataFrame, size: str = "5 seconds") -> DataFrame:

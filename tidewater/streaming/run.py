@@ -15,15 +15,30 @@ def stream_table(spark: SparkSession, path: str, schema, per_batch: int | None =
     return reader.parquet(path)
 
 
+def state_partitions(spark: SparkSession) -> str:
+    """Partitions of keyed state: the session's setting, and in local mode no more than there are cores."""
+    wanted = spark.conf.get("spark.sql.shuffle.partitions")
+    if spark.sparkContext.master.startswith("local"):
+        return str(min(int(wanted), spark.sparkContext.defaultParallelism))
+    return wanted
+
+
+def _state(spark: SparkSession):
+    return settings(
+        spark,
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+        spark__sql__shuffle__partitions=state_partitions(spark),
+    )
+
+
 def run_to_end(df: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
     """Append all output rows to files and return them as a batch DataFrame.
 
-    Keyed state lives in RocksDB. The state partitions take the session's shuffle partitions, fixed by the
-    checkpoint from the first run on.
+    Keyed state lives in RocksDB; the checkpoint of the first run fixes the number of state partitions.
     """
     spark = df.sparkSession
     path, checkpoint = path or new_dir(spark, label), checkpoint or new_dir(spark, f"{label}-checkpoint")
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with _state(spark):
         query = (
             df.writeStream.format("parquet")
             .outputMode("append")
@@ -48,12 +63,13 @@ def run_complete(df: DataFrame, label: str) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         seen.append(batch_id)
 
-    query = (
-        df.writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", new_dir(spark, f"{label}-checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with _state(spark):
+        query = (
+            df.writeStream.outputMode("complete")
+            .foreachBatch(write)
+            .option("checkpointLocation", new_dir(spark, f"{label}-checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/batch={max(seen)}")
