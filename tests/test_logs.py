@@ -1,0 +1,78 @@
+"""Log validation and split on hand-made lines."""
+
+import json
+
+from tests.conftest import rows
+from tidewater import schemas
+from tidewater.operators import logs
+from tidewater.plans import warehouse
+
+
+def line(seq, **parts):
+    base = {"common": {"mid": "m", "is_new": "1"}, "page": {"item": "i"}, "ts": 1000 + seq, "seq": seq}
+    return json.dumps(base | parts)
+
+
+LINES = [
+    line(1),
+    line(2, displays=[{"item": "a"}, {"item": "b"}], actions=[{"id": "x"}]),
+    line(3, err={"code": "1"}),
+    line(4, err={"code": "1"}, start={"entry": "icon"}),
+    line(5, start={"entry": "icon"}, displays=[{"item": "hidden"}]),
+    line(6, displays=[], actions=None),
+    line(7)[:-1],
+    "no json",
+    '"a text"',
+]
+
+
+def parsed(spark):
+    return logs.parse(spark.createDataFrame([(l,) for l in LINES], "value string"), schemas.APP_LOG)
+
+
+def seqs(df):
+    return sorted(r.seq for r in df.collect())
+
+
+def test_valid_and_dead(spark):
+    df = parsed(spark)
+    assert seqs(logs.valid(df)) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r.value for r in logs.dead_letters(df).collect()) == sorted(LINES[6:])
+
+
+def test_split(spark):
+    log = logs.valid(parsed(spark))
+    assert seqs(logs.errors(log)) == [3, 4]
+    assert seqs(logs.starts(log)) == [4, 5]
+    assert [r.display["item"] for r in logs.displays(log).collect()] == ["a", "b"]
+    assert [r.action["id"] for r in logs.actions(log).collect()] == ["x"]
+    assert seqs(logs.pages(log)) == [1, 2, 3, 6]
+
+
+def test_start_goes_on_without_its_error(spark):
+    log = logs.valid(parsed(spark))
+    assert "err" in logs.errors(log).columns and "err" not in logs.starts(log).columns
+
+
+def test_action_time_is_left_out_unless_asked_for(spark):
+    log = logs.valid(parsed(spark))
+    assert [r.ts for r in logs.actions(log).collect()] == [None]
+    assert [r.ts for r in logs.actions(log, keep_ts=True).collect()] == [1002]
+    assert {r.ts for r in logs.displays(log).collect()} == {1002}
+
+
+def test_routes_match_the_split(spark):
+    log = logs.valid(parsed(spark))
+    counts = {r.route: r["count"] for r in logs.routes(log).groupBy("route").count().collect()}
+    assert counts == {"err": 2, "start": 2, "display": 2, "action": 1, "page": 4}
+    actions = [json.loads(r.value) for r in logs.routes(log).where("route = 'action'").collect()]
+    assert "ts" not in actions[0] and actions[0]["action"] == {"id": "x"}
+    starts = [json.loads(r.value) for r in logs.routes(log).where("route = 'start'").collect()]
+    assert all("err" not in s for s in starts)
+
+
+def test_write_log(spark, tmp_path):
+    lines = spark.createDataFrame([(l,) for l in LINES], "value string")
+    warehouse.write_log(lines, str(tmp_path / "out"), str(tmp_path / "staging"))
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("route").count()
+    assert dict(rows(got)) == {"err": 2, "start": 2, "display": 2, "action": 1, "page": 4, "dirty": 3}

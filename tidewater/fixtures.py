@@ -9,17 +9,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater import schemas
 from tidewater.functions.time import DATE_TIME
 
 DATABASE = "shop"
 
+_schemas: dict[str, StructType] = {}
 _splits: dict[tuple[str, ...], int] = {}  # splits of each input seen so far
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; its schema is read from the file footer once per path."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -14,6 +14,7 @@ from tidewater import schemas
 from tidewater.functions.time import date_id, et_from_seconds
 from tidewater.functions.values import product_text
 from tidewater.operators.changes import changed_to, changed_to_strict, pick, rows_of
+from tidewater.operators.skew import hot_join
 
 
 def _shape(df: DataFrame, schema) -> DataFrame:
@@ -76,7 +77,7 @@ def order_cancel(details: DataFrame, log: DataFrame, database: str) -> DataFrame
     cancelled = cancelled.select(
         F.col("data")["id"].alias("oc_id"), F.col("data")["operate_time"].alias("operate_time")
     )
-    joined = details.drop("date_id", "create_time").join(cancelled, F.col("order_id") == F.col("oc_id"))
+    joined = hot_join(details.drop("date_id", "create_time"), cancelled, {"order_id": "oc_id"})
     joined = joined.withColumn("create_time", F.col("operate_time")).withColumn(
         "date_id", date_id(F.col("operate_time"))
     )
@@ -110,12 +111,8 @@ def order_pay_success(
 ) -> DataFrame:
     """Lines of paid orders, the line being ``delay`` to ``before`` older than the payment (both inclusive)."""
     paid_at, made_at = et_from_seconds(F.col("pi_ts")), et_from_seconds(F.col("ts"))
-    joined = details.join(
-        payment_rows(log, database),
-        (F.col("order_id") == F.col("pi_order"))
-        & (made_at >= paid_at - F.expr(f"INTERVAL {before}"))
-        & (made_at <= paid_at - F.expr(f"INTERVAL {delay}")),
-    )
+    in_time = (made_at >= paid_at - F.expr(f"INTERVAL {before}")) & (made_at <= paid_at - F.expr(f"INTERVAL {delay}"))
+    joined = hot_join(details, payment_rows(log, database), {"order_id": "pi_order"}, extra=in_time)
     return pay_success_shape(joined, dictionary)
 
 

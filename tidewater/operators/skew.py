@@ -6,18 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def attach(facts: DataFrame, summary: DataFrame, *keys: str) -> DataFrame:
-    """Left join with a summary of one row per key, where a key of ``facts`` may be hot.
-
-    The summary leaves its aggregation already partitioned by the key, and adaptive execution splits hot
-    partitions only when both join inputs are shuffles made for the join. The extra hash in the condition asks
-    for those shuffles. The summary side is small beside the facts, so moving it again costs little; when Spark
-    measures it below the broadcast threshold the join becomes a broadcast join at run time.
+def hot_join(
+    left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "inner", extra: Column | None = None
+) -> DataFrame:
+    """Join where a key of ``left`` may be hot and an input may come out of a join or grouping on that key.
+
+    ``keys`` maps left columns to right columns. Adaptive execution splits hot partitions only when both inputs
+    are shuffles made for this join; an input that is already partitioned by the key would not be shuffled and
+    so not be split. The hash in the condition asks for the shuffle. A side that Spark measures below the
+    broadcast threshold is broadcast at run time instead.
     """
-    tag = "_key_hash"
-    left = facts.withColumn(tag, F.xxhash64(*keys))
-    right = summary.withColumn(tag, F.xxhash64(*keys))
-    return left.join(right, [*keys, tag], "left").drop(tag)
+    lhs = left.withColumn("_left_hash", F.xxhash64(*keys.keys()))
+    rhs = right.withColumn("_right_hash", F.xxhash64(*keys.values()))
+    condition = F.col("_left_hash") == F.col("_right_hash")
+    for a, b in keys.items():
+        condition = condition & (F.col(a) == F.col(b))
+    if extra is not None:
+        condition = condition & extra
+    return lhs.join(rhs, condition, how).drop("_left_hash", "_right_hash")
+
+
+def attach(facts: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+    """Left join with a summary of one row per ``key``, which leaves its grouping partitioned by the key."""
+    other = f"{key}__summary"
+    return hot_join(facts, summary.withColumnRenamed(key, other), {key: other}, "left").drop(other)
 
 
 def mark(facts: DataFrame, chosen: DataFrame, identity: tuple[str, ...], flag: str) -> DataFrame:
