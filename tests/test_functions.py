@@ -1,0 +1,90 @@
+"""Scalar functions, SQL-callable functions and basic operators on edge values."""
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidewater.functions import text, time, values
+from tidewater.operators import basics
+
+
+def one(spark, column, **cells):
+    df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in cells.items()])
+    return df.select(column.alias("r")).first().r
+
+
+def test_time(spark):
+    c = F.col
+    assert one(spark, time.date_id(c("s")), s="2024-02-29 23:59:59") == "2024-02-29"
+    assert one(spark, time.date_id(c("s")), s="no date") is None
+    assert one(spark, time.datetime_to_ms(c("s")), s="1970-01-01 08:00:00") == 0
+    assert one(spark, time.datetime_to_ms(c("s"), "UTC"), s="1970-01-01 08:00:00") == 28_800_000
+    assert one(spark, time.date_to_ms(c("s")), s="1970-01-02") == 57_600_000
+    assert one(spark, time.ms_to_text(c("s"), time.DATE_TIME, "+08:00"), s=0) == "1970-01-01 08:00:00"
+    assert one(spark, time.ms_to_text(c("s"), time.DATE_COMPACT), s=86_400_000) == "19700102"
+    assert one(spark, time.et_from_millis(c("s")), s=1500) == datetime.datetime(1970, 1, 1, 0, 0, 1, 500_000)
+    assert [one(spark, time.compare_dates(c("a"), c("b")), a=a, b="2024-01-31") for a in ("2024-02-01", "2024-01-31", "2023-12-31")] == [1, 0, -1]
+
+
+def test_money(spark):
+    assert one(spark, values.product_text(F.col("a"), F.col("b")), a="3", b="2.5") == "7.5000"
+    assert one(spark, values.product_text(F.col("a"), F.col("b")), a="x", b="2.5") is None
+
+
+def test_tokens(spark):
+    assert one(spark, text.tokens(F.col("t")), t=" Café, 2 für (1)! ") == ["Café", "2", "für", "1"]
+    assert one(spark, text.words(F.col("t")), t="a  b  ") == ["a", "", "b"]
+
+
+def test_tokenizer_in_sql(spark):
+    text.register_tokenizer(spark)
+    spark.createDataFrame([(1, "red, shoe"), (2, None), (3, "...")], "id int, kw string").createOrReplaceTempView("kws")
+    assert rows(spark.sql("SELECT id, keyword FROM kws JOIN LATERAL tokenization(kw)")) == [(1, "red"), (1, "shoe")]
+
+
+def test_tokenizer_can_be_replaced(spark):
+    df = spark.createDataFrame([("ab",)], "kw string")
+    got = text.explode_tokens(df, F.col("kw"), tokenizer=lambda c: F.filter(F.split(c, ""), lambda x: x != ""))
+    assert [r.keyword for r in got.collect()] == ["a", "b"]
+
+
+def test_sql_functions(spark):
+    values.register_prefix(spark)
+    values.register_prefix_python(spark)
+    got = spark.sql("SELECT prefix_name(n) AS a, prefix_name_py(n) AS b FROM VALUES ('Ann'), (CAST(NULL AS STRING)) t(n)")
+    assert rows(got) == [("name: Ann", "addName: Ann"), (None, None)]
+
+
+def test_average(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 7)], "k string, v bigint")
+    assert rows(df.groupBy("k").agg(values.average(F.col("v")).alias("m"))) == [("a", 1.5), ("b", 7.0)]
+
+
+def numbers(spark):
+    return spark.createDataFrame([(i,) for i in (-3, 1, 2, 3, 4, 5)], "num int")
+
+
+def test_odd_keeps_no_negatives(spark):
+    assert rows(basics.odd(numbers(spark), "num")) == [(1,), (3,), (5,)]
+
+
+def test_sorts(spark):
+    assert [r.num for r in basics.sort_desc(numbers(spark), "num").collect()] == [5, 4, 3, 2, 1, -3]
+    df = spark.createDataFrame([("ab",), ("ba",), ("aa",), ("",)], "w string")
+    assert [r.w for r in basics.sort_last_char(df, "w").collect()] == ["", "aa", "ba", "ab"]
+    pairs = basics.to_pairs(numbers(spark), F.col("num") % 2, F.col("num"))
+    assert [tuple(r) for r in basics.sort_by_key(pairs).collect()] == [(-1, -3), (0, 2), (0, 4), (1, 1), (1, 3), (1, 5)]
+    assert [r.num for r in basics.take(numbers(spark), 2, "num").collect()] == [-3, 1]
+
+
+def test_group_values_are_whole_and_paged(spark):
+    df = spark.range(0, 1000).select("id", (F.col("id") % 7).alias("v"))
+    pages = basics.group_values(df, F.lit("hot"), F.col("v"), F.col("id"), 100).collect()
+    assert len(pages) == 10 and max(len(p["items"]) for p in pages) == 100
+    assert sorted(v for p in pages for v in p["items"]) == sorted(i % 7 for i in range(1000))
+
+
+def test_flow_record(spark):
+    df = spark.createDataFrame([(3, 4)], "up bigint, down bigint")
+    assert rows(basics.flow_record(df)) == [(3, 4, 7, "3\t4\t7")]

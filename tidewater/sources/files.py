@@ -30,7 +30,7 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``path, content`` per file, the file being read in one piece."""
+    """One row ``path, content`` per file, read in one piece by one task; Spark gives no row for an empty file."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
 
 
