@@ -127,4 +127,5 @@ def test_scratch_folder_follows_the_cluster_setting(spark):
     assert new_dir(cluster, "x").startswith("hdfs://shared/x-")
     with pytest.raises(RuntimeError):
         shared_base(session("yarn"))
-    assert shared_base(session("local[2]")) == shared_base(spark)
+    assert shared_base(session("local[2]")) == shared_base(session("local[4]"))
+    assert new_dir(spark, "x") != new_dir(spark, "x")

@@ -61,7 +61,7 @@ FROM ({WORDS}) GROUP BY doc_id
 """,
 )
 def flat_map_words(spark, sf):
-    docs = fx.spread(fx.table(spark, sf, "documents"), "doc_id")
+    docs = fx.spread(spark, sf, "documents", "doc_id")
     words = docs.select("doc_id", F.explode(basics.words(F.col("text"))).alias("word"))
     return words.groupBy("doc_id").agg(
         F.count("*").alias("n_words"),
@@ -73,7 +73,7 @@ def flat_map_words(spark, sf):
 
 @query("distinct_words", f"SELECT DISTINCT word FROM ({WORDS})")
 def distinct_words(spark, sf):
-    docs = fx.spread(fx.table(spark, sf, "documents"), "doc_id")
+    docs = fx.spread(spark, sf, "documents", "doc_id")
     return basics.flat_map_words(docs, "text").distinct()
 
 
@@ -120,7 +120,7 @@ def count_by_key(spark, sf):
 
 @query("count_all", f"SELECT count(*) AS n FROM ({WORDS})")
 def count_all(spark, sf):
-    docs = fx.spread(fx.table(spark, sf, "documents"), "doc_id")
+    docs = fx.spread(spark, sf, "documents", "doc_id")
     return basics.count_all(basics.flat_map_words(docs, "text"))
 
 

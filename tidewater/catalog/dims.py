@@ -53,7 +53,7 @@ dim_changes AS (
 )"""
 
 
-def _cells(df, *extra):
+def dim_columns(df, *extra):
     data = F.col("data")
     return df.select(
         "sink_table", "row_key", *extra, data["id"].alias("id"), data["name"].alias("name"), data["segment"].alias("segment")
@@ -72,7 +72,7 @@ FROM dim_changes
 def route_dims(spark, sf):
     routed = dim_route(changes.dim_etl(fx.change_log(spark, sf), DB), fx.dim_config(spark))
     data = F.col("data")
-    return _cells(routed, "type", "ts", data["type"].alias("data_type"), data["nation_id"].alias("pruned"))
+    return dim_columns(routed, "type", "ts", data["type"].alias("data_type"), data["nation_id"].alias("pruned"))
 
 
 @query(
@@ -103,7 +103,7 @@ FROM customer WHERE c_custkey % 4 <> 2 OR c_custkey % 8 = 2
 @query("dim_upsert_delete", DIM_ROWS)
 def dim_upsert_delete(spark, sf):
     routed = dim_route(fx.user_changes(spark, sf), fx.dim_config(spark))
-    return _cells(cell_rows(routed))
+    return dim_columns(cell_rows(routed))
 
 
 @query(
@@ -115,7 +115,7 @@ UNION ALL SELECT 'dim_sku_info', {text('p_partkey')}, {text('p_partkey')}, p_nam
 """,
 )
 def dim_tables(spark, sf):
-    return _cells(warehouse.dimension_rows(fx.change_log(spark, sf), fx.dim_config(spark), DB))
+    return dim_columns(warehouse.dimension_rows(fx.change_log(spark, sf), fx.dim_config(spark), DB))
 
 
 SPLIT_SQL = f"""

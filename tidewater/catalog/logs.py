@@ -81,6 +81,11 @@ def split_page(spark, sf):
     )
 
 
+def routed_counts(rows):
+    is_new = F.when(F.col("route") != "dirty", F.get_json_object("value", "$.common.is_new"))
+    return rows.groupBy("route", is_new.alias("is_new")).agg(F.count("*").alias("n"))
+
+
 @query(
     "log_routes",
     f"""
@@ -106,9 +111,7 @@ UNION ALL SELECT 'dirty', NULL, count(*) FROM log WHERE seq % 97 = 0
 def log_routes(spark, sf):
     path = new_dir(spark, "log-routes")
     warehouse.write_log(fx.app_log_lines(spark, sf), path, new_dir(spark, "log-staging"))
-    rows = spark.read.schema("value string, route string").parquet(path)
-    is_new = F.when(F.col("route") != "dirty", F.get_json_object("value", "$.common.is_new"))
-    return rows.groupBy("route", is_new.alias("is_new")).agg(F.count("*").alias("n"))
+    return routed_counts(spark.read.schema("value string, route string").parquet(path))
 
 
 @query(
@@ -121,7 +124,7 @@ WHERE keyword <> '' GROUP BY doc_id, keyword
 )
 def keyword_tokens(spark, sf):
     register_tokenizer(spark)
-    fx.spread(fx.table(spark, sf, "documents"), "doc_id").createOrReplaceTempView("token_documents")
+    fx.spread(spark, sf, "documents", "doc_id").createOrReplaceTempView("token_documents")
     return spark.sql(
         "SELECT doc_id, keyword, count(*) AS n FROM token_documents, LATERAL tokenization(text) GROUP BY doc_id, keyword"
     )

@@ -6,15 +6,22 @@ from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
 from tidewater.catalog.facts import DETAIL_SQL, ORDER_TABLES, PAY_SQL
-from tidewater.catalog.registry import query
+from tidewater.catalog.dims import dim_columns
+from tidewater.catalog.logs import routed_counts
+from tidewater.catalog.registry import SQL, query
 from tidewater.catalog.visits import ALERT_SQL, NEW_FLAG_SQL, SV_SQL, TOP_SQL, UV_SQL
 from tidewater.operators import facts, visits, windows
+from tidewater.plans import warehouse
 from tidewater.session import new_dir
+from tidewater.sinks.files import write_text
+from tidewater.sinks.keyed import CellTable
+from tidewater.sources.lines import read_lines
 from tidewater.streaming import joins, state
 from tidewater.streaming import windows as stream_windows
 from tidewater.streaming.run import run_complete, run_to_end, stream_table
 
 DB = fx.DATABASE
+HOURLY = ("1 hour", "5 seconds")
 FAR = 4102444800  # seconds of 2100-01-01, past every row, to close the last windows
 
 
@@ -97,3 +104,46 @@ def trade_order_detail_stream(spark, sf):
         _staged(spark, "coupons", facts.coupon_rows(log, DB), {"cou_detail": "end-of-coupons", "cou_ts": FAR}),
     ]
     return run_to_end(joins.trade_order_detail(*parts), "order-detail")
+
+
+def _closed_log(spark, sf):
+    """The application log as files to stream, with a last record far in the future to close all windows."""
+    path = new_dir(spark, "app-log")
+    log = fx.app_log(spark, sf)
+    log.write.parquet(path)
+    page = {"last_page_id": "home", "item_type": "keyword", "item": "end"}
+    common = dict.fromkeys(("mid", "vc", "ch", "ar", "is_new", "sid"), "end")
+    last = [(common, page, None, None, None, None, FAR * 1000, -1)]
+    spark.createDataFrame(last, log.schema).write.mode("append").parquet(path)
+    return stream_table(spark, path, log.schema)
+
+
+@query("keyword_window_stream", SQL["keyword_window"])
+def keyword_window_stream(spark, sf):
+    return run_to_end(warehouse.keyword_stream(_closed_log(spark, sf), *HOURLY), "keywords")
+
+
+@query("traffic_window_stream", SQL["traffic_window"])
+def traffic_window_stream(spark, sf):
+    return run_to_end(warehouse.traffic_stream(_closed_log(spark, sf), *HOURLY), "traffic")
+
+
+@query("log_routes_stream", SQL["log_routes"])
+def log_routes_stream(spark, sf):
+    path = new_dir(spark, "log-lines")
+    write_text(fx.app_log_lines(spark, sf), path)
+    lines = read_lines(spark, "text", stream=True, path=path)
+    return routed_counts(run_to_end(warehouse.log_line_stream(lines), "log-routes"))
+
+
+@query("dim_tables_stream", SQL["dim_tables"])
+def dim_tables_stream(spark, sf):
+    """Changes of the configured tables in files, one batch per file, into a stored cell table."""
+    path = new_dir(spark, "dim-changes")
+    log = fx.change_log(spark, sf, "user_info", "static")
+    log.write.parquet(path)
+    table = CellTable(spark, new_dir(spark, "dim-cells"))
+    config = fx.dim_config(spark).withColumns({"op": F.lit("r"), "seq": F.lit(1)})
+    stream = stream_table(spark, path, log.schema, per_batch=4)
+    warehouse.dimension_stream(stream, lambda: config, table, new_dir(spark, "dim-checkpoint"), DB).awaitTermination()
+    return dim_columns(table.read())

@@ -17,7 +17,7 @@ from tidewater.functions.time import DATE_TIME
 DATABASE = "shop"
 
 _schemas: dict[str, StructType] = {}
-_splits: dict[tuple[str, ...], int] = {}  # splits of each input seen so far
+_splits: dict[str, int] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,16 +28,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Distribute an input that comes in fewer splits than cores, such as a file of one row group.
+def spread(spark: SparkSession, sf: str, name: str, *keys: str) -> DataFrame:
+    """A test table, distributed by ``keys`` when it comes in fewer splits than cores, like a file of one row group.
 
     A large table has more splits than the cluster has cores and is returned as it is, without a shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    source = tuple(df.inputFiles())
-    if source not in _splits:
-        _splits[source] = df.rdd.getNumPartitions()
-    return df.repartition(cores, *keys) if _splits[source] < cores else df
+    df, path = table(spark, sf, name), f"{sf}/{name}.parquet"
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if _splits[path] < cores else df
 
 
 def _text(value: Column) -> Column:
@@ -80,7 +80,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    return spread(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
 
 
 def detail_id() -> Column:
@@ -111,7 +111,7 @@ def order_detail_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_info_changes(spark: SparkSession, sf: str) -> DataFrame:
-    order, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    order, customer = spread(spark, sf, "orders", "o_orderkey"), table(spark, sf, "customer")
     rows = order.join(customer, order.o_custkey == customer.c_custkey)
     base = {"id": F.col("o_orderkey"), "user_id": F.col("o_custkey"), "province_id": F.col("c_nationkey")}
     status = F.when(F.col("o_orderstatus") == "F", "1003").when(F.col("o_orderstatus") == "P", "1005").otherwise("1006")
@@ -160,7 +160,7 @@ def coupon_changes(spark: SparkSession, sf: str) -> DataFrame:
 def payment_changes(spark: SparkSession, sf: str) -> DataFrame:
     callback = F.timestamp_seconds(_seconds(F.col("o_orderdate")) + F.col("o_orderkey") % 2400)
     return _change(
-        table(spark, sf, "orders"),
+        spread(spark, sf, "orders", "o_orderkey"),
         "payment_info",
         "update",
         F.unix_seconds(callback),
@@ -241,7 +241,7 @@ def cart_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def comment_changes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    rows = spread(spark, sf, "documents", "doc_id").join(table(spark, sf, "labels"), "doc_id")
     return _change(
         rows,
         "comment_info",
@@ -361,7 +361,7 @@ def split_config(spark: SparkSession) -> DataFrame:
 
 def config_change_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Configuration changes as JSON lines: each order changes the entry of its customer."""
-    order = table(spark, sf, "orders")
+    order = spread(spark, sf, "orders", "o_orderkey")
     key = F.col("o_orderkey")
     op = F.when(F.col("o_orderstatus") == "F", "u").when(F.col("o_orderstatus") == "O", "c").otherwise("d")
     source = F.concat(F.lit("t"), _text(F.col("o_custkey")))
@@ -389,7 +389,7 @@ def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
     """Events with a proper timestamp and the number inside ``props``."""
-    source = stream_of(spark, sf, "events") if stream else spread(table(spark, sf, "events"), "event_id")
+    source = stream_of(spark, sf, "events") if stream else spread(spark, sf, "events", "event_id")
     return source.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("et"),

@@ -12,10 +12,13 @@ from tidewater import schemas
 from tidewater.operators.changes import config_snapshot, dim_etl, drop_bootstrap
 from tidewater.operators.logs import dead_letters, pages, parse, routes, valid
 from tidewater.operators.routing import dim_route, dwd_route
-from tidewater.operators.visits import flat_visits, repair_new_flag
+from tidewater.operators.visits import HOUR_MS, flat_visits, repair_new_flag
+from tidewater.functions.time import et_from_millis
+from tidewater.operators import windows
 from tidewater.operators.windows import keyword_window, search_terms, traffic_window
 from tidewater.sinks.files import write_by_target
-from tidewater.sinks.keyed import cell_rows
+from tidewater.sinks.keyed import CellTable, cell_rows
+from tidewater.streaming import state
 
 
 def dimension_rows(log: DataFrame, config: DataFrame, database: str) -> DataFrame:
@@ -23,6 +26,19 @@ def dimension_rows(log: DataFrame, config: DataFrame, database: str) -> DataFram
     return cell_rows(dim_route(dim_etl(log, database), config))
 
 
+def dimension_stream(
+    log: DataFrame, read_config: Callable[[], DataFrame], table: CellTable, checkpoint: str, database: str
+) -> StreamingQuery:
+    """The dimension job as a stream: each batch reads the configuration changes so far and stores its cells."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.write_batch(dim_route(dim_etl(batch, database), config_snapshot(read_config())), batch_id)
+
+    return (
+        log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def split_changes(log: DataFrame, config: DataFrame) -> DataFrame:
     """Changes routed to the fact table their table and type are configured for."""
     return dwd_route(drop_bootstrap(log), config)
@@ -59,9 +75,44 @@ def write_log(lines: DataFrame, path: str, staging: str) -> None:
     write_by_target(routes(repair_new_flag(log)).unionByName(dirty), path, "route")
 
 
+def log_line_stream(lines: DataFrame) -> DataFrame:
+    """The log split as a stream of ``route, value``; the visitor flag comes from keyed state per device.
+
+    A record passes the state as its key columns and its JSON text, not as nested values.
+    """
+    parsed = parse(lines, schemas.APP_LOG)
+    keyed = valid(parsed).select(
+        "common.mid", "common.is_new", "ts", "seq", F.to_json(F.struct(*schemas.APP_LOG.names)).alias("record")
+    )
+    fixed = state.repair_new_flag(keyed).select("is_new", F.from_json("record", schemas.APP_LOG).alias("row"))
+    log = fixed.select("row.*", "is_new").withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
+    dirty = dead_letters(parsed).select(F.lit("dirty").alias("route"), "value")
+    return routes(log.drop("is_new")).unionByName(dirty)
+
+
 def keyword_summary(log: DataFrame, size: str = "5 seconds") -> DataFrame:
     return keyword_window(search_terms(pages(log)), size)
 
 
+def keyword_stream(log: DataFrame, size: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
+    """Keyword counts of a streamed log; a window appears once the watermark has passed it."""
+    return keyword_window(search_terms(pages(log)).withWatermark("et", delay), size)
+
+
 def traffic_summary(log: DataFrame, size: str = "5 seconds") -> DataFrame:
     return traffic_window(flat_visits(pages(log)), size)
+
+
+def traffic_stream(log: DataFrame, size: str = "5 seconds", delay: str = "5 seconds", session_ttl_ms: int = HOUR_MS) -> DataFrame:
+    """Traffic summary of a streamed log: visitor and session flags from keyed state, then one windowed sum."""
+    visits = flat_visits(pages(log)).drop("day").withColumn("et", et_from_millis(F.col("ts"))).withWatermark("et", delay)
+    flagged = state.session_flag(state.daily_visitor_flag(visits, et="et"), session_ttl_ms, et="et")
+    measures = flagged.select(
+        "et",
+        *windows.DIMENSIONS,
+        F.col("uv").cast("bigint").alias("uv_count"),
+        F.col("sv").cast("bigint").alias("sv_count"),
+        F.lit(1).cast("bigint").alias("pv_count"),
+        F.coalesce("during_time", F.lit(0)).cast("bigint").alias("duration_sum"),
+    )
+    return windows.traffic_summary(measures, size)

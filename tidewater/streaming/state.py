@@ -158,12 +158,18 @@ def _flagged(df: DataFrame, flag: str) -> T.StructType:
     return T.StructType(df.schema.fields + [T.StructField(flag, T.IntegerType())])
 
 
-def daily_visitor_flag(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("mid").transformWithStateInPandas(DailyVisitor(), _flagged(visits, "uv"), "Append", "None")
+def _run(df: DataFrame, key: str, processor: StatefulProcessor, flag: str, et: str | None) -> DataFrame:
+    mode = {"timeMode": "EventTime", "eventTimeColumnName": et} if et else {"timeMode": "None"}
+    return df.groupBy(key).transformWithStateInPandas(processor, _flagged(df, flag), "Append", **mode)
 
 
-def session_flag(visits: DataFrame, ttl_ms: int = 3_600_000) -> DataFrame:
-    return visits.groupBy("sid").transformWithStateInPandas(SessionStart(ttl_ms), _flagged(visits, "sv"), "Append", "None")
+def daily_visitor_flag(visits: DataFrame, et: str | None = None) -> DataFrame:
+    """``et`` names the watermarked time column, when a windowed summary follows."""
+    return _run(visits, "mid", DailyVisitor(), "uv", et)
+
+
+def session_flag(visits: DataFrame, ttl_ms: int = 3_600_000, et: str | None = None) -> DataFrame:
+    return _run(visits, "sid", SessionStart(ttl_ms), "sv", et)
 
 
 def timer_fire(pairs: DataFrame, at_ms: int = 5000) -> DataFrame:
