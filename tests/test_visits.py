@@ -185,3 +185,25 @@ def test_keyword_window(spark):
         (first, second, "1970-01-01", "shoe", 1),
         (second, "1970-01-01 00:00:10", "1970-01-01", "red", 1),
     ]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sessions_of_a_busy_sid_are_chained_over_chunks(spark, seed):
+    """One sid over many chunks, dense, sparse and with long gaps, read in small Arrow batches."""
+    rnd = random.Random(seed)
+    at, records = rnd.randrange(10 * DAY), []
+    for seq in range(1500):
+        at += rnd.choice([0, 1, 60_000, 700_000, 1_900_000, HOUR, 5 * HOUR if rnd.random() < 0.1 else 30_000])
+        records.append(("m", "busy" if rnd.random() < 0.9 else f"s{rnd.randrange(5)}", "0", at, seq))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        flags = {r.seq: r.sv for r in visits.session_flag(visits.flat_visits(make_visits(spark, records)), HOUR).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert flags == loop_sessions(records, HOUR)
+
+
+def test_alert_within_one_second(spark):
+    """All readings of a key in one second follow one another in arrival order."""
+    data = [("a", 5, 0, 0), ("a", 5, 50, 1), ("a", 5, 45, 2), ("a", 6, 0, 3), ("b", 5, 9, 4)]
+    assert rows(visits.jump_alert(spark.createDataFrame(data, READING), 10)) == [("a", 5, 0, 50), ("a", 6, 45, 0)]

@@ -67,41 +67,129 @@ def daily_visitor_flag(visits: DataFrame) -> DataFrame:
     return mark(visits, first.select("mid", "first.*"), ("mid", "ts", "seq"), "uv")
 
 
-def _spaced(ttl_ms: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Rows, sorted by ``sid, ts``, that lie ``ttl_ms`` or more after the last row kept for their ``sid``."""
+CHUNK_TTLS = 12  # length of a chunk of one sid, in session lengths
+Batches = Iterator[pd.DataFrame]
 
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sid, last = None, None
+
+def _groups(batch: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
+    """Runs of equal ``sid, chunk`` in a sorted batch, as key, begin and end."""
+    sids, chunks = batch["sid"].to_numpy(), batch["chunk"].to_numpy()
+    heads = np.flatnonzero(np.append(True, (sids[1:] != sids[:-1]) | (chunks[1:] != chunks[:-1])))
+    for head, end in zip(heads, np.append(heads[1:], len(sids))):
+        yield (sids[head], chunks[head]), head, end
+
+
+def _outcomes(ttl: int) -> Callable[[Batches], Batches]:
+    """For each chunk, its last opener as a step function of the moment from which a visit may open a session.
+
+    A row ``upto, last`` says: from any moment up to ``upto``, and past that of the row before, the walk from
+    opener to opener ends at ``last``. Starts that meet on the way share a row. Only starts in the first session
+    length of a chunk can follow an opener of the chunk before.
+    """
+
+    def one(key: tuple, ts: np.ndarray) -> pd.DataFrame:
+        after = np.searchsorted(ts, ts + ttl)
+        step = np.where(after < len(ts), after, np.arange(len(ts)))
+        for _ in range(CHUNK_TTLS.bit_length()):
+            step = step[step]
+        starts = np.searchsorted(ts, key[1] * ttl * CHUNK_TTLS + ttl) + 1
+        upto, last = ts[:starts], ts[step[:starts]]
+        ends = np.append(last[1:] != last[:-1], True)
+        return pd.DataFrame({"sid": key[0], "chunk": key[1], "upto": upto[ends], "last": last[ends]})
+
+    def run(batches: Batches) -> Batches:
+        open_key, held = None, []
+        for batch in batches:
+            for key, head, end in _groups(batch):
+                if held and key != open_key:
+                    yield one(open_key, np.concatenate(held))
+                    held = []
+                open_key = key
+                held.append(batch["ts"].to_numpy()[head:end])
+        if held:
+            yield one(open_key, np.concatenate(held))
+
+    return run
+
+
+def _entries(ttl: int) -> Callable[[Batches], Batches]:
+    """Walk the chunks of each sid in order: the moment ``ready`` from which a visit may open a session in each."""
+
+    def run(batches: Batches) -> Batches:
+        at, ready, following = (None, None), None, None
+        for batch in batches:
+            upto, last = batch["upto"].to_numpy(), batch["last"].to_numpy()
+            out = []
+            for key, head, end in _groups(batch):
+                if key != at:
+                    ready = following if key[0] == at[0] else None
+                    at = key
+                    if ready is not None and ready > key[1] * ttl * CHUNK_TTLS:
+                        out.append((*key, ready))
+                    settled = False
+                if not settled:
+                    found = head if ready is None else head + np.searchsorted(upto[head:end], ready)
+                    if found < end:
+                        following, settled = last[found] + ttl, True
+                    elif ready is None:
+                        following = None
+            yield pd.DataFrame(out, columns=["sid", "chunk", "ready"])
+
+    return run
+
+
+def _openers(ttl: int, names: list[str]) -> Callable[[Batches], Batches]:
+    """Openers of each chunk; a row with ``ready`` set comes first in its chunk and is no visit."""
+
+    def run(batches: Batches) -> Batches:
+        at, ready = None, None
         for batch in batches:
-            if batch.empty:
-                continue
-            sids, ts = batch["sid"].to_numpy(), batch["ts"].to_numpy()
-            heads = np.flatnonzero(np.append(True, sids[1:] != sids[:-1]))
+            ts, entry = batch["ts"].to_numpy(), batch["ready"].to_numpy()
             kept = []
-            for head, end in zip(heads, np.append(heads[1:], len(ts))):
-                if sids[head] != sid:
-                    sid, last = sids[head], None
-                at = head if last is None else head + np.searchsorted(ts[head:end], last + ttl_ms)
-                while at < end:
-                    kept.append(at)
-                    last = ts[at]
-                    at = head + np.searchsorted(ts[head:end], last + ttl_ms)
-            yield batch.iloc[kept]
+            for key, head, end in _groups(batch):
+                if key != at:
+                    at, ready = key, ts[head]
+                    if entry[head] >= 0:
+                        ready, head = entry[head], head + 1
+                here = head + np.searchsorted(ts[head:end], ready)
+                while here < end:
+                    kept.append(here)
+                    ready = ts[here] + ttl
+                    here = head + np.searchsorted(ts[head:end], ready)
+            yield batch.iloc[kept][names]
 
-    return keep
+    return run
 
 
 def session_starts(visits: DataFrame, ttl_ms: int = HOUR_MS) -> DataFrame:
     """Visits that open a session: the first of a ``sid``, then each one ``ttl_ms`` or more after the last opener.
 
-    This is no gap session: visits between two openers do not extend the first one. Copies of a moment are
-    reduced to one row before the shuffle, so a ``sid`` reaches its task with at most one row per millisecond
-    however many rows it holds, and the task streams them in sorted batches, holding only the last opener.
+    This is no gap session: visits between two openers do not extend the first one, so an opener depends on the
+    one before and that on its own. To keep a busy ``sid`` out of a single task its time is cut into chunks:
+    each chunk is reduced, in parallel, to where it ends for every possible entry; the entries are chained
+    through these short step functions; then each chunk, in parallel, picks its openers. Copies of a moment
+    become one row before anything is shuffled, so a chunk holds at most one row per millisecond.
     """
-    rest = [c for c in visits.columns if c not in ("sid", "ts")]
-    moments = visits.groupBy("sid", "ts").agg(F.min_by(F.struct(*rest), F.col("seq")).alias("row"))
-    ordered = moments.select("sid", "ts", "row.*").repartition("sid").sortWithinPartitions("sid", "ts")
-    return ordered.mapInPandas(_spaced(ttl_ms), ordered.schema)
+    names = list(visits.columns)
+    rest = [c for c in names if c not in ("sid", "ts")]
+    moments = (
+        visits.groupBy("sid", "ts")
+        .agg(F.min_by(F.struct(*rest), F.col("seq")).alias("row"))
+        .select("sid", "ts", "row.*", F.floor(F.col("ts") / (ttl_ms * CHUNK_TTLS)).alias("chunk"))
+    )
+
+    def in_order(df: DataFrame, by: tuple[str, ...], then: str) -> DataFrame:
+        return df.repartition(*by).sortWithinPartitions("sid", "chunk", then)
+
+    chunks = in_order(moments.select("sid", "chunk", "ts"), ("sid", "chunk"), "ts")
+    outcomes = chunks.mapInPandas(_outcomes(ttl_ms), "sid string, chunk bigint, upto bigint, last bigint")
+    entries = in_order(outcomes, ("sid",), "upto").mapInPandas(_entries(ttl_ms), "sid string, chunk bigint, ready bigint")
+    before_all = F.col("chunk") * ttl_ms * CHUNK_TTLS - 1
+    marked = moments.withColumn("ready", F.lit(-1).cast("bigint")).unionByName(
+        entries.withColumn("ts", before_all), allowMissingColumns=True
+    )
+    ordered = in_order(marked, ("sid", "chunk"), "ts")
+    return ordered.mapInPandas(_openers(ttl_ms, names), moments.select(*names).schema)
 
 
 def session_flag(visits: DataFrame, ttl_ms: int = HOUR_MS) -> DataFrame:
@@ -113,20 +201,26 @@ def session_flag(visits: DataFrame, ttl_ms: int = HOUR_MS) -> DataFrame:
 def jump_alert(readings: DataFrame, ttl: int, threshold: int = 10) -> DataFrame:
     """Readings that differ by more than ``threshold`` from the last one of their key, if that is younger than ``ttl``.
 
-    A predecessor younger than ``ttl`` lies in the same stretch of ``ttl`` seconds or the one before. So rows are
-    grouped by key and stretch, never by key alone, and the last row of each stretch is handed to the next.
+    Rows are grouped by key and second, never by key alone. The predecessor of the first row of a second is the
+    last row of an earlier second; it is looked up among the seconds of the key, which are reduced to one row
+    each and cut into stretches of ``ttl``: a predecessor young enough lies in the same stretch or the one before.
     """
-    rows = readings.withColumn("_stretch", F.floor(F.col("sec") / ttl))
-    here = F.struct("sec", "val")
-    order = Window.partitionBy("key", "_stretch").orderBy("sec", "seq")
-    inside = rows.withColumn("_prev", F.lag(here).over(order))
-    tails = (
-        rows.groupBy("key", "_stretch")
-        .agg(F.max_by(here, F.struct("sec", "seq")).alias("_tail"))
-        .withColumn("_stretch", F.col("_stretch") + 1)
+    seconds = (
+        readings.groupBy("key", "sec")
+        .agg(F.max_by("val", "seq").alias("val"))
+        .withColumn("stretch", F.floor(F.col("sec") / ttl))
     )
-    linked = inside.join(tails, ["key", "_stretch"], "left").withColumn("_prev", F.coalesce("_prev", "_tail"))
-    young = F.col("sec") - F.col("_prev.sec") < ttl
-    return linked.where(young & (F.abs(F.col("_prev.val") - F.col("val")) > threshold)).select(
-        "key", "sec", F.col("_prev.val").alias("prev_val"), "val"
+    here = F.struct("sec", "val")
+    in_stretch = Window.partitionBy("key", "stretch").orderBy("sec")
+    tails = seconds.groupBy("key", (F.col("stretch") + 1).alias("stretch")).agg(F.max(here).alias("tail"))
+    earlier = (
+        seconds.withColumn("prev", F.lag(here).over(in_stretch))
+        .join(tails, ["key", "stretch"], "left")
+        .select("key", "sec", F.coalesce("prev", "tail").alias("prev"))
+        .where(F.col("sec") - F.col("prev.sec") < ttl)
+        .select("key", "sec", F.col("prev.val").alias("earlier_val"))
     )
+    in_second = Window.partitionBy("key", "sec").orderBy("seq")
+    linked = readings.withColumn("same_val", F.lag("val").over(in_second)).join(earlier, ["key", "sec"], "left")
+    prev = F.coalesce("same_val", "earlier_val")
+    return linked.where(F.abs(prev - F.col("val")) > threshold).select("key", "sec", prev.alias("prev_val"), "val")
