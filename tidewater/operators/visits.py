@@ -71,14 +71,37 @@ CHUNK_TTLS = 12  # length of a chunk of one sid, in session lengths
 Batches = Iterator[pd.DataFrame]
 
 
+def _heads(batch: pd.DataFrame) -> np.ndarray:
+    """Positions in a sorted batch where a new ``sid, chunk`` begins."""
+    sids, chunks = batch["sid"].to_numpy(), batch["chunk"].to_numpy()
+    return np.flatnonzero(np.append(True, (sids[1:] != sids[:-1]) | (chunks[1:] != chunks[:-1])))
+
+
 def _groups(batch: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
     """Runs of equal ``sid, chunk`` in a sorted batch, as key, begin and end."""
-    sids, chunks = batch["sid"].to_numpy(), batch["chunk"].to_numpy()
-    heads = np.flatnonzero(np.append(True, (sids[1:] != sids[:-1]) | (chunks[1:] != chunks[:-1])))
+    sids, chunks, heads = batch["sid"].to_numpy(), batch["chunk"].to_numpy(), _heads(batch)
     for head, end in zip(heads, np.append(heads[1:], len(sids))):
         yield (sids[head], chunks[head]), head, end
 
 
+def _whole_groups(batches: Batches) -> Batches:
+    """The same sorted rows, cut so that no group lies in two batches."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        key = ["sid", "chunk"]
+        head = _heads(batch)[-1]
+        if held and (head > 0 or tuple(held[-1][key].iloc[-1]) != tuple(batch[key].iloc[0])):
+            yield pd.concat([*held, batch.iloc[:head]], ignore_index=True)
+            held = []
+        elif head > 0:
+            yield batch.iloc[:head].reset_index(drop=True)
+        held.append(batch.iloc[head:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _outcomes(ttl: int) -> Callable[[Batches], Batches]:
     """For each chunk, its last opener as a step function of the moment from which a visit may open a session.
 
@@ -86,28 +109,28 @@ def _outcomes(ttl: int) -> Callable[[Batches], Batches]:
     opener to opener ends at ``last``. Starts that meet on the way share a row. Only starts in the first session
     length of a chunk can follow an opener of the chunk before.
     """
-
-    def one(key: tuple, ts: np.ndarray) -> pd.DataFrame:
-        after = np.searchsorted(ts, ts + ttl)
-        step = np.where(after < len(ts), after, np.arange(len(ts)))
-        for _ in range(CHUNK_TTLS.bit_length()):
-            step = step[step]
-        starts = np.searchsorted(ts, key[1] * ttl * CHUNK_TTLS + ttl) + 1
-        upto, last = ts[:starts], ts[step[:starts]]
-        ends = np.append(last[1:] != last[:-1], True)
-        return pd.DataFrame({"sid": key[0], "chunk": key[1], "upto": upto[ends], "last": last[ends]})
+    length = ttl * CHUNK_TTLS
 
     def run(batches: Batches) -> Batches:
-        open_key, held = None, []
-        for batch in batches:
-            for key, head, end in _groups(batch):
-                if held and key != open_key:
-                    yield one(open_key, np.concatenate(held))
-                    held = []
-                open_key = key
-                held.append(batch["ts"].to_numpy()[head:end])
-        if held:
-            yield one(open_key, np.concatenate(held))
+        for batch in _whole_groups(batches):
+            heads = _heads(batch)
+            sizes = np.diff(np.append(heads, len(batch)))
+            ends = np.repeat(heads + sizes, sizes)
+            begin = batch["chunk"].to_numpy() * length
+            within = batch["ts"].to_numpy() - begin
+            # one rising line of time over all groups of the batch, farther apart than any step
+            line = within + np.repeat(np.arange(len(heads)), sizes) * (length + ttl)
+            after = np.searchsorted(line, line + ttl)
+            step = np.where(after < ends, after, np.arange(len(line)))
+            for _ in range(CHUNK_TTLS.bit_length()):
+                step = step[step]
+            # a start lies in the first session length, or is the first visit after it
+            start = np.append(True, within[:-1] < ttl) | (within < ttl)
+            start[heads] = True
+            chosen = batch[start].assign(upto=batch["ts"][start], last=batch["ts"].to_numpy()[step][start])
+            nxt = chosen[["sid", "chunk", "last"]].shift(-1)
+            same = (nxt["sid"] == chosen["sid"]) & (nxt["chunk"] == chosen["chunk"]) & (nxt["last"] == chosen["last"])
+            yield chosen.loc[~same, ["sid", "chunk", "upto", "last"]]
 
     return run
 
