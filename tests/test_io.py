@@ -13,6 +13,7 @@ from tidewater.functions.text import camel, snake
 from tidewater.operators import basics
 from tidewater.session import new_dir, shared_base
 from tidewater.sinks import files as out
+from tidewater.sinks.topics import topic_rows
 from tidewater.sources import files, jdbc
 from tidewater.sources import lines as src
 
@@ -92,6 +93,13 @@ def test_json_lines_use_snake_case(spark):
     assert out.json_lines(df).first().value == '{"cur_date":"x","is_new":null,"pv_count":1}'
 
 
+def test_topic_rows(spark):
+    df = spark.createDataFrame([("1", None, "dwd_a")], "id string, v string, sink_table string")
+    keyed = topic_rows(df.drop("sink_table"), ("id",), topic="facts").first()
+    assert tuple(keyed) == ('{"id":"1"}', '{"id":"1","v":null}', "facts")
+    assert tuple(topic_rows(df, topic_column="sink_table").first()) == (None, '{"id":"1","v":null}', "dwd_a")
+
+
 def test_names():
     assert [snake(n) for n in ("uvCount", "stt", "curDate")] == ["uv_count", "stt", "cur_date"]
     assert [camel(n) for n in ("source_table", "id")] == ["sourceTable", "id"]

@@ -220,3 +220,25 @@ def test_interval_join_bounds(spark, tmp_path):
     dic = spark.createDataFrame([("1", ("card",))], schemas.DICTIONARY)
     got = run_to_end(joins.order_pay_success(d, p, dic, delay="1 hour"), "pay")
     assert rows(got.select("order_detail_id", "payment_type_name", "ts")) == [("d1800", "card", 10_000), ("d5", "card", 10_000)]
+
+
+def test_idle_input_holds_back_only_when_waited_for(spark, tmp_path):
+    """Of two joined-up inputs one stops early; the other's windows close only if the idle one is not waited for."""
+
+    def counts(name):
+        busy = files(spark, tmp_path / name / "busy", READING, [("a", 1, 0, 0)], [("a", 100, 0, 1)], [("a", 101, 0, 2)])
+        idle = files(spark, tmp_path / name / "idle", READING, [("a", 2, 0, 0)])
+        timed = [d.withColumn("et", F.timestamp_seconds("sec")).withWatermark("et", "2 seconds") for d in (busy, idle)]
+        both = timed[0].unionByName(timed[1]).groupBy(F.window("et", "10 seconds")).count()
+        return both.select(F.unix_seconds("window.start").alias("s"), "count")
+
+    assert rows(run_to_end(counts("wait"), "wait")) == []
+    assert rows(run_to_end(counts("go"), "go", wait_for_idle=False)) == [(0, 2)]
+
+
+def test_equal_times_follow_the_log_position(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ("id",), ("ts", "seq"))
+    schema = "id string, v string, ts bigint, seq bigint"
+    table.write_batch(spark.createDataFrame([("a", "second", 1, 2), ("a", "first", 1, 1)], schema), 0)
+    table.write_batch(spark.createDataFrame([("a", "zeroth", 1, 0)], schema), 1)
+    assert rows(table.read()) == [("a", "second", 1, 2)]

@@ -10,7 +10,7 @@ from tidewater.catalog.dims import dim_columns
 from tidewater.catalog.logs import routed_counts
 from tidewater.catalog.registry import SQL, query
 from tidewater.catalog.visits import ALERT_SQL, NEW_FLAG_SQL, SV_SQL, TOP_SQL, UV_SQL
-from tidewater.operators import facts, visits, windows
+from tidewater.operators import changes, facts, visits, windows
 from tidewater.plans import warehouse
 from tidewater.session import new_dir
 from tidewater.sinks.files import write_text
@@ -147,3 +147,44 @@ def dim_tables_stream(spark, sf):
     stream = stream_table(spark, path, log.schema, per_batch=4)
     warehouse.dimension_stream(stream, lambda: config, table, new_dir(spark, "dim-checkpoint"), DB).awaitTermination()
     return dim_columns(table.read())
+
+
+@query("order_cancel_stream", SQL["order_cancel"])
+def order_cancel_stream(spark, sf):
+    log = fx.change_log(spark, sf, *ORDER_TABLES)
+    details = _staged(spark, "details", facts.trade_order_detail(log, DB))
+    cancelled = _staged(spark, "cancelled", facts.cancelled_rows(log, DB))
+    return run_to_end(joins.order_cancel(details, cancelled), "order-cancel")
+
+
+ALL_TIME = "36500 DAYS"  # the test tables ship lines years before and after their order
+
+
+@query("order_refund_stream", SQL["order_refund"])
+def order_refund_stream(spark, sf):
+    log = fx.change_log(spark, sf, "order_info", "refund")
+    refunds = _staged(spark, "refunds", facts.refund_rows(log, DB))
+    orders = _staged(spark, "refunding", facts.orders_with_status(log, DB, "1005"))
+    return run_to_end(joins.order_refund(refunds, orders, fx.dictionary(spark, sf), ALL_TIME), "order-refund")
+
+
+@query("refund_pay_success_stream", SQL["refund_pay_success"])
+def refund_pay_success_stream(spark, sf):
+    log = fx.change_log(spark, sf, "order_info", "refund")
+    parts = [
+        _staged(spark, "refund-paid", facts.refund_paid_rows(log, DB)),
+        _staged(spark, "refund-done", facts.refund_done_rows(log, DB)),
+        _staged(spark, "refunded-orders", facts.orders_with_status(log, DB, "1006")),
+    ]
+    return run_to_end(joins.refund_pay_success(*parts, fx.dictionary(spark, sf), ALL_TIME), "refund-pay")
+
+
+@query("comment_info_stream", SQL["comment_info"])
+def comment_info_stream(spark, sf):
+    log = _staged(spark, "comments", fx.change_log(spark, sf, "comment_info"))
+    return run_to_end(facts.comment_info(log, fx.dictionary(spark, sf), DB), "comment-rows")
+
+
+@query("cart_add_stream", SQL["cart_add"])
+def cart_add_stream(spark, sf):
+    return run_to_end(changes.cart_add(_staged(spark, "carts", fx.change_log(spark, sf, "cart_info")), DB), "cart-rows")

@@ -71,17 +71,19 @@ def trade_order_detail(log: DataFrame, database: str) -> DataFrame:
     return _shape(wide, schemas.ORDER_DETAIL)
 
 
+def cancelled_rows(log: DataFrame, database: str) -> DataFrame:
+    rows = rows_of(log, "order_info", "update", database).where(changed_to_strict("order_status", "1003"))
+    return pick(rows, "operate_time", oc_id="id").withColumnRenamed("ts", "oc_ts")
+
+
+def cancel_shape(joined: DataFrame) -> DataFrame:
+    times = {"create_time": F.col("operate_time"), "date_id": date_id(F.col("operate_time"))}
+    return _shape(joined.withColumns(times), schemas.ORDER_DETAIL)
+
+
 def order_cancel(details: DataFrame, log: DataFrame, database: str) -> DataFrame:
     """Lines of cancelled orders; date and time are those of the cancellation."""
-    cancelled = rows_of(log, "order_info", "update", database).where(changed_to_strict("order_status", "1003"))
-    cancelled = cancelled.select(
-        F.col("data")["id"].alias("oc_id"), F.col("data")["operate_time"].alias("operate_time")
-    )
-    joined = hot_join(details.drop("date_id", "create_time"), cancelled, {"order_id": "oc_id"})
-    joined = joined.withColumn("create_time", F.col("operate_time")).withColumn(
-        "date_id", date_id(F.col("operate_time"))
-    )
-    return _shape(joined, schemas.ORDER_DETAIL)
+    return cancel_shape(hot_join(details, cancelled_rows(log, database), {"order_id": "oc_id"}))
 
 
 def payment_rows(log: DataFrame, database: str) -> DataFrame:
@@ -116,46 +118,59 @@ def order_pay_success(
     return pay_success_shape(joined, dictionary)
 
 
-def order_refund(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
-    """Refund requests of orders in refund, with the names of their type and reason."""
-    refunds = pick(
+def refund_rows(log: DataFrame, database: str) -> DataFrame:
+    return pick(
         rows_of(log, "order_refund_info", "insert", database),
         "id", "user_id", "order_id", "sku_id", "refund_reason_txt", "refund_num", "refund_amount", "create_time",
         refund_type_code="refund_type", refund_reason_type_code="refund_reason_type",
     )
-    orders = rows_of(log, "order_info", "update", database).where(changed_to("order_status", "1005"))
-    orders = orders.select(F.col("data")["id"].alias("oi_id"), F.col("data")["province_id"].alias("province_id"))
-    named = lookup(refunds, dictionary, "refund_type_code", "refund_code_name")
+
+
+def orders_with_status(log: DataFrame, database: str, status: str) -> DataFrame:
+    rows = rows_of(log, "order_info", "update", database).where(changed_to("order_status", status))
+    return pick(rows, "province_id", oi_id="id", oi_user="user_id").withColumnRenamed("ts", "oi_ts")
+
+
+def refund_shape(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = lookup(joined, dictionary, "refund_type_code", "refund_code_name")
     named = lookup(named, dictionary, "refund_reason_type_code", "refund_reason_type_name")
-    joined = named.join(orders, F.col("order_id") == F.col("oi_id"))
-    return _shape(joined.withColumn("date_id", date_id(F.col("create_time"))), schemas.ORDER_REFUND)
+    return _shape(named.withColumn("date_id", date_id(F.col("create_time"))), schemas.ORDER_REFUND)
 
 
-def refund_pay_success(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
-    """Paid-out refunds, matched to the request by order and article."""
-    paid = pick(
+def order_refund(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
+    """Refund requests of orders in refund, with the names of their type and reason."""
+    orders = orders_with_status(log, database, "1005")
+    joined = refund_rows(log, database).join(orders, F.col("order_id") == F.col("oi_id"))
+    return refund_shape(joined, dictionary)
+
+
+def refund_paid_rows(log: DataFrame, database: str) -> DataFrame:
+    return pick(
         rows_of(log, "refund_payment", "update", database).where(changed_to("refund_status", "1602")),
         "id", "order_id", "sku_id", "callback_time", payment_type_code="payment_type", refund_amount="total_amount",
     )
-    requests = rows_of(log, "order_refund_info", "update", database).where(changed_to("refund_status", "0705"))
-    requests = requests.select(
-        F.col("data")["order_id"].alias("ri_order"),
-        F.col("data")["sku_id"].alias("ri_sku"),
-        F.col("data")["refund_num"].alias("refund_num"),
-    )
-    orders = rows_of(log, "order_info", "update", database).where(changed_to("order_status", "1006"))
-    orders = orders.select(
-        F.col("data")["id"].alias("oi_id"),
-        F.col("data")["user_id"].alias("user_id"),
-        F.col("data")["province_id"].alias("province_id"),
-    )
+
+
+def refund_done_rows(log: DataFrame, database: str) -> DataFrame:
+    rows = rows_of(log, "order_refund_info", "update", database).where(changed_to("refund_status", "0705"))
+    return pick(rows, "refund_num", ri_order="order_id", ri_sku="sku_id").withColumnRenamed("ts", "ri_ts")
+
+
+def refund_pay_shape(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = lookup(joined, dictionary, "payment_type_code", "payment_type_name")
+    named = named.withColumns({"user_id": F.col("oi_user"), "date_id": date_id(F.col("callback_time"))})
+    return _shape(named, schemas.REFUND_PAY_SUCCESS)
+
+
+def refund_pay_success(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
+    """Paid-out refunds, matched to the request by order and article."""
+    same_article = (F.col("order_id") == F.col("ri_order")) & (F.col("sku_id") == F.col("ri_sku"))
     joined = (
-        lookup(paid, dictionary, "payment_type_code", "payment_type_name")
-        .join(requests, (F.col("order_id") == F.col("ri_order")) & (F.col("sku_id") == F.col("ri_sku")))
-        .join(orders, F.col("order_id") == F.col("oi_id"))
-        .withColumn("date_id", date_id(F.col("callback_time")))
+        refund_paid_rows(log, database)
+        .join(refund_done_rows(log, database), same_article)
+        .join(orders_with_status(log, database, "1006"), F.col("order_id") == F.col("oi_id"))
     )
-    return _shape(joined, schemas.REFUND_PAY_SUCCESS)
+    return refund_pay_shape(joined, dictionary)
 
 
 def comment_info(log: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:

@@ -31,14 +31,19 @@ def _state(spark: SparkSession):
     )
 
 
-def run_to_end(df: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+def run_to_end(
+    df: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None, wait_for_idle: bool = True
+) -> DataFrame:
     """Append all output rows to files and return them as a batch DataFrame.
 
     Keyed state lives in RocksDB; the checkpoint of the first run fixes the number of state partitions.
+    Of several inputs the slowest sets the watermark; with ``wait_for_idle`` off the fastest does, so that an idle
+    input holds nothing back.
     """
     spark = df.sparkSession
     path, checkpoint = path or new_dir(spark, label), checkpoint or new_dir(spark, f"{label}-checkpoint")
-    with _state(spark):
+    policy = "min" if wait_for_idle else "max"
+    with _state(spark), settings(spark, spark__sql__streaming__multipleWatermarkPolicy=policy):
         query = (
             df.writeStream.format("parquet")
             .outputMode("append")
