@@ -8,7 +8,7 @@ from tidewater.functions.values import keep_columns, with_entry
 from tidewater.operators import changes
 from tidewater.operators.routing import dim_route, dwd_route
 from tidewater.plans import warehouse
-from tidewater.sinks.keyed import cell_rows
+from tidewater.sinks.keyed import CellTable, cell_rows
 from tidewater.sources import lines as src
 
 
@@ -142,6 +142,28 @@ def test_cells(spark):
     assert got == {("t", "1"): {"a": "z", "b": "y"}, ("t", "3"): {"a": "w"}, ("u", "1"): {"a": "other table"}}
 
 
+def test_stored_cells(spark, tmp_path):
+    """Cells over batches, a repeated batch and a snapshot give the rows of all changes at once."""
+    schema = "sink_table string, row_key string, data map<string,string>, type string, ts bigint"
+    batches = [
+        [("t", "1", {"a": "x", "b": "y"}, "insert", 1), ("t", "2", {"a": "x"}, "insert", 1)],
+        [("t", "1", {"a": "z", "b": ""}, "update", 2), ("t", "2", {"a": "x"}, "delete", 2)],
+        [("t", "2", {"b": "new"}, "insert", 3)],
+    ]
+    table = CellTable(spark, str(tmp_path / "cells"))
+
+    def state():
+        return {r.row_key: r.data for r in table.read().collect()}
+
+    for i in (0, 1, 1):
+        table.write_batch(spark.createDataFrame(batches[i], schema), i)
+    assert state() == {"1": {"a": "z", "b": "y"}}
+    table.fold(1)
+    assert state() == {"1": {"a": "z", "b": "y"}}
+    table.write_batch(spark.createDataFrame(batches[2], schema), 2)
+    assert state() == {"1": {"a": "z", "b": "y"}, "2": {"b": "new"}}
+
+
 def test_split_stream_reads_the_configuration_per_batch(spark, tmp_path):
     """Each batch of the dynamic split uses the configuration as it then stands."""
     one = log(spark, ("user", "insert", {"id": "1", "name": "n"}, None, 1))

@@ -194,7 +194,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 """,
 )
 def sink_upsert(spark, sf):
-    """Order changes as a stream of files, one batch per file, into a keyed table."""
+    """Order changes as a stream of files, a few per batch, into a keyed table."""
     staged, target = new_dir(spark, "orders"), new_dir(spark, "upsert")
     data = F.col("data")
     log = fx.order_info_changes(spark, sf).select(
@@ -202,5 +202,5 @@ def sink_upsert(spark, sf):
     )
     log.write.parquet(staged)
     table = KeyedTable(spark, target, ("id",))
-    table.stream(stream_table(spark, staged, log.schema, per_batch=1), new_dir(spark, "upsert-checkpoint")).awaitTermination()
+    table.stream(stream_table(spark, staged, log.schema, per_batch=4), new_dir(spark, "upsert-checkpoint")).awaitTermination()
     return table.read()

@@ -138,7 +138,7 @@ def log_routes_stream(spark, sf):
 
 @query("dim_tables_stream", SQL["dim_tables"])
 def dim_tables_stream(spark, sf):
-    """Changes of the configured tables in files, one batch per file, into a stored cell table."""
+    """Changes of the configured tables as a stream of files, a few per batch, into a stored cell table."""
     path = new_dir(spark, "dim-changes")
     log = fx.change_log(spark, sf, "user_info", "static")
     log.write.parquet(path)
