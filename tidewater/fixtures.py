@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidewater import schemas
 from tidewater.functions.time import DATE_TIME
+from tidewater.streaming.run import stream_table
 
 DATABASE = "shop"
 
@@ -383,8 +384,7 @@ def config_change_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A test table as a stream of its one file."""
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return stream_table(spark, sf, table(spark, sf, name).schema, pathGlobFilter=f"{name}.parquet")
 
 
 def events(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:

@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.session import ROCKSDB, new_dir, settings
 
 
-def stream_table(spark: SparkSession, path: str, schema, per_batch: int | None = None) -> DataFrame:
-    """Parquet files as a stream, ``per_batch`` files at a time."""
-    reader = spark.readStream.schema(schema)
-    if per_batch:
-        reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(path)
+BYTES_PER_BATCH = 1 << 30
+
+
+def stream_table(
+    spark: SparkSession, path: str, schema, per_batch: int | None = None, bytes_per_batch: int = BYTES_PER_BATCH, **options: str
+) -> DataFrame:
+    """Parquet files as a stream, admitted by size, or ``per_batch`` files at a time.
+
+    The admitted amount bounds what a state operator holds of one key; a backlog is better handled by the batch form.
+    """
+    admit = ("maxFilesPerTrigger", str(per_batch)) if per_batch else ("maxBytesPerTrigger", str(bytes_per_batch))
+    return spark.readStream.schema(schema).option(*admit).options(**options).parquet(path)
 
 
 def state_partitions(spark: SparkSession) -> str:

@@ -1,8 +1,8 @@
 """Keyed state on ``transformWithState``: alerts, visitor flags, session flags and timers.
 
-Rows of a key come in Arrow batches. A processor sorts the rows a key has in one micro-batch by their time and
-sequence, so the amount admitted per trigger (``maxFilesPerTrigger``, ``maxBytesPerTrigger`` or
-``maxOffsetsPerTrigger``) bounds its memory. State per key is a few values.
+Rows of a key come in Arrow batches. Where the order matters, a processor sorts the rows a key has in one
+micro-batch by their time and sequence, so the amount admitted per trigger (``maxFilesPerTrigger``,
+``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``) bounds its memory. State per key is a few values.
 """
 
 from __future__ import annotations
@@ -54,23 +54,27 @@ class JumpAlert(StatefulProcessor):
 
 
 class NewFlagRepair(StatefulProcessor):
-    """Correct ``is_new`` from the day of the first visit, which the first record of a device fixes."""
+    """Correct ``is_new`` from the day of the first visit, which the first record of a device fixes.
+
+    Only the first micro-batch of a device needs its rows in order; later ones pass through batch by batch.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", DAY)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, "ts", "seq")
-        days = _days(batch["ts"])
         if self.first.exists():
             first = self.first.get()[0]
         else:
-            first = days.iloc[0]
+            batch = _in_order(rows, "ts", "seq")
+            first = _days(batch["ts"].iloc[:1]).iloc[0]
             if batch["is_new"].iloc[0] != "1":
                 first = str((pd.Timestamp(first) - pd.Timedelta(days=1)).date())
             self.first.update((first,))
-        batch.loc[(batch["is_new"] == "1") & (days != first), "is_new"] = "0"
-        yield batch
+            rows = iter([batch])
+        for batch in rows:
+            batch.loc[(batch["is_new"] == "1") & (_days(batch["ts"]) != first), "is_new"] = "0"
+            yield batch
 
     def close(self) -> None:
         pass
