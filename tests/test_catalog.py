@@ -2,9 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import connect, differences
 from tests.conftest import SMALL
+from tidewater.catalog import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +13,13 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_agrees_with_sql(spark, con, name):
     assert differences(spark, con, SMALL, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
