@@ -8,6 +8,7 @@ from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.dedup import exact_dedup
 from tidewater.llm.mixing import mix
 from tidewater.llm.registry import query, table
+from tidewater.llm.simhash import near_dedup
 
 
 @query(
@@ -38,3 +39,8 @@ def op7_mix_sources(spark, sf):
 def op8_byte_bpe(spark, sf):
     docs = table(spark, sf, "documents")
     return digests(encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+@query("op2_simhash")
+def op2_simhash(spark, sf):
+    return near_dedup(table(spark, sf, "documents"))
