@@ -24,6 +24,9 @@ from tidewater.session import new_dir
 #: Bits of the hash that the directory may use at most: 2^DEPTH cells bound its size.
 DEPTH = 16
 
+#: Hash values that are broadcast at most, 8 bytes each; more of them meet the texts in a shuffle.
+BROADCAST_KEYS = 2_000_000
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(text, f"[{BLANKS}]+", "")
@@ -103,7 +106,10 @@ def exact_dedup(
     # bytes are compared where a hash value has more than one row
     shared = index.filter("n > 1").select(F.col("key").alias("shared_key"))
     texts = source.select("id", "text", "plain", hash_of(F.col("plain")).alias("key"))
-    compared = texts.select("key", "plain").join(shared, F.col("key") == F.col("shared_key"), "left_semi").groupBy("key").agg(F.min("plain").alias("a"), F.max("plain").alias("b"))
+    if shared.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        shared = F.broadcast(shared)
+    compared = hot_join(texts.select("key", "plain"), shared, {"key": "shared_key"}, "left_semi")
+    compared = compared.groupBy("key").agg(F.min("plain").alias("a"), F.max("plain").alias("b"))
     chained = staged(spark, compared.filter("a != b").select(F.col("key").alias("chained_key")), "dedup-chained")
 
     # the plain case: one text per hash value
