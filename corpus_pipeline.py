@@ -5,18 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.llm import quality
 from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.common import staged
 from tidewater.llm.dedup import without_copies
 from tidewater.llm.mixing import mixed_documents
+from tidewater.llm.simhash import one_of_each
 from tidewater.session import use_utc
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject; it learns from the labels of this input."""
+    return quality.good_documents(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal without blanks, the longest stays."""
     return without_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints link, the one with the smallest id stays."""
+    return one_of_each(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares: documents repeat or go."""
     return mixed_documents(docs)
@@ -27,7 +39,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return digests(encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
-STAGES = [("exact_dedup", exact_copies), ("mix_sources", mixture), ("byte_bpe", tokens)]
+STAGES = [
+    ("quality", good_quality),
+    ("exact_dedup", exact_copies),
+    ("simhash", near_copies),
+    ("mix_sources", mixture),
+    ("byte_bpe", tokens),
+]
 
 ORACLE_SQL = None
 

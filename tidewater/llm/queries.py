@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from tidewater.llm import quality
 from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.dedup import exact_dedup
 from tidewater.llm.mixing import mix
@@ -44,3 +45,9 @@ def op8_byte_bpe(spark, sf):
 @query("op2_simhash")
 def op2_simhash(spark, sf):
     return near_dedup(table(spark, sf, "documents"))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
