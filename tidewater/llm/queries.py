@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidewater.llm import quality
+from tidewater.llm import quality, toxicity
 from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.dedup import exact_dedup
 from tidewater.llm.mixing import mix
 from tidewater.llm.registry import query, table
 from tidewater.llm.simhash import near_dedup
+from tidewater.llm.token_files import token_files
 
 
 @query(
@@ -51,3 +52,15 @@ def op2_simhash(spark, sf):
 def op6_quality(spark, sf):
     docs = table(spark, sf, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.grade(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
+
+@query("op1_token_files")
+def op1_token_files(spark, sf):
+    docs = table(spark, sf, "documents")
+    return token_files(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
