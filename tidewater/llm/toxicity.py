@@ -109,7 +109,7 @@ def fit(sample: list[tuple[str, int]], share: float = 0.5, most: int = 4000, rou
         upper, lower = slope[n, grade + 1] / p, slope[n, grade] / p
         d_at = (upper - lower) * mass
         d_cuts = np.array([np.sum(mass * (np.where(grade == k, -upper, 0) + np.where(grade == k + 1, lower, 0))) for k in range(GRADES - 1)])
-        d_weights = np.bincount(columns, values * d_at[rows], len(weights)) + 1e-3 * weights
+        d_weights = np.bincount(columns, values * d_at[rows], len(weights)) + 3e-4 * weights
         d_theta = np.array([d_cuts.sum(), d_cuts[1:].sum() * np.exp(theta[1]), d_cuts[2] * np.exp(theta[2])])
         g = np.concatenate([d_weights, d_theta])
         state[0] = 0.9 * state[0] + 0.1 * g
