@@ -7,6 +7,7 @@ import public_tokenizers
 from tidewater.llm import quality, toxicity
 from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.dedup import exact_dedup
+from tidewater.llm.licenses import scan_licenses
 from tidewater.llm.mixing import mix
 from tidewater.llm.registry import query, table
 from tidewater.llm.simhash import near_dedup
@@ -64,3 +65,9 @@ def op10_toxicity(spark, sf):
 def op1_token_files(spark, sf):
     docs = table(spark, sf, "documents")
     return token_files(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op3_licenses")
+def op3_licenses(spark, sf):
+    found = scan_licenses(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
