@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from tidewater.llm import quality, toxicity
 from tidewater.llm.bpe import digests, encode_decode
@@ -12,6 +13,8 @@ from tidewater.llm.mixing import mix
 from tidewater.llm.registry import query, table
 from tidewater.llm.simhash import near_dedup
 from tidewater.llm.token_files import token_files
+from tidewater.llm.topk import top_k
+from tidewater.llm.warc import archive
 
 
 @query(
@@ -71,3 +74,41 @@ def op1_token_files(spark, sf):
 def op3_licenses(spark, sf):
     found = scan_licenses(table(spark, sf, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query(
+    "op4_exact_topk",
+    """
+    WITH whole AS (
+      SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+      FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+      WHERE q.vec_id % 50 = 0),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def op4_exact_topk(spark, sf):
+    return top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query(
+    "op5_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+                 max(page_id) OVER (PARTITION BY payload) AS latest FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id < latest THEN latest END AS refers_to
+    FROM d
+    """,
+)
+def op5_warc(spark, sf):
+    return archive(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
