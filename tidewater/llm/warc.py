@@ -214,7 +214,8 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 
     manifest = spark.read.parquet(f"{folder}/manifest").select("file")
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return manifest.repartition("file").mapInArrow(work, schema)
+    # a manifest is small, so its bytes say nothing about the work: the number of tasks follows the files
+    return manifest.repartition(max(1, manifest.count()), "file").mapInArrow(work, schema)
 
 
 def archive(df: DataFrame, folder: str | None = None, **options) -> DataFrame:
