@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import join_pieces, small_batches, strings
 
-#: Words that a worker remembers at most.
-REMEMBERED = 400_000
+#: Words, and token pairs, that a worker remembers at most.
+REMEMBERED, PAIRS = 250_000, 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -58,6 +58,8 @@ class Replay:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of every word."""
+        if len(self.pair_ranks) > PAIRS:
+            self.pair_ranks.clear()
         symbols: list[int] = []
         owner: list[int] = []
         spans = []

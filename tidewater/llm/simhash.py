@@ -31,6 +31,9 @@ RADIUS, SEGMENT = 4, 32
 #: Rows of a point beyond which its rows go to sub-tables.
 CROWDED = 2_000
 
+#: Fingerprints that one task enters into the tables.
+ENTERED = 10_000
+
 
 def shingle_hashes(text: bytes, width: int) -> list[int]:
     """XXH64 of every run of ``width`` words, of the whole sequence if it is shorter, of nothing if there is no word."""
@@ -133,7 +136,8 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(marks: DataFrame) -> DataFrame:
     """``a, b``: for different fingerprints (``bits``), edges that connect whatever differs in at most 4 bits."""
     spark = marks.sparkSession
-    entries = table_entries(marks)
+    # a fingerprint is 8 bytes and 66 rows: the number of tasks follows the rows, not the bytes
+    entries = table_entries(marks.repartition(max(1, marks.count() // ENTERED), "bits"))
     counts = staged(spark, entries.groupBy("segment", "point").count().filter(F.col("count") > CROWDED).select(F.col("segment").alias("at_segment"), F.col("point").alias("at_point")), "simhash-crowded")
     key = (F.col("point") * 2 + F.col("segment")).alias("k1")
     plain = entries.select(key, F.lit(0).cast("long").alias("k2"), "bits")
