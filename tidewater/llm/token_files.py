@@ -25,9 +25,14 @@ from tidewater.llm.rans import Block, Table, encode_block
 from tidewater.session import new_dir
 
 #: Words that a worker remembers at most, and tokens of a block; a longer document is a block of its own.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 BLOCK = 1 << 20
 
+#: Letters and digits, and punctuation, between which the tokenizer's pattern always cuts. The apostrophe
+#: is left out, as it may begin a contraction.
+LETTER = r"[A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]"
+MARK = r"[!-&(-/:-@\[-`{-~]"
+
 MANIFEST = "shard int, block int, offset long, bytes long, tokens long, documents long, temporary string, file string"
 
 _loaded: dict[str, tuple] = {}
@@ -46,11 +51,13 @@ def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, n
     """Ids of all texts in one array with ``end_id`` after each, and their numbers.
 
     The tokenizer drops white space before it merges, so no token crosses a blank and every different word is encoded
-    once. Words are lower-cased first, as the tokenizer would, except beside what may be the name of a special token.
+    once. To have fewer different words, letters become small first, as the tokenizer would make them, and a blank is
+    set where its pattern cuts anyway; texts that may hold the name of a special token are left as they are.
     """
     tokenizer, known = _tokenizer(path)
-    lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-    split = pc.ascii_split_whitespace(lowered)
+    apart = pc.replace_substring_regex(pc.ascii_lower(texts), f"({LETTER})({MARK})", r"\1 \2")
+    apart = pc.replace_substring_regex(apart, f"({MARK})({LETTER})", r"\1 \2")
+    split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, apart))
     words = split.flatten().dictionary_encode()
     different = words.dictionary.to_pylist()
     if len(known) > REMEMBERED:
@@ -206,7 +213,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     ["id", "start", "n_tokens", "ids_crc32", "ids"],
                 )
 
-    dealt = blocks.repartition("file", "offset")
+    # a manifest is small, so its bytes say nothing about the work: the number of tasks follows the blocks
+    dealt = blocks.repartition(max(1, manifest.count() // 4), "file", "offset")
     return dealt.mapInArrow(work, "id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
