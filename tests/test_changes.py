@@ -190,3 +190,24 @@ def test_split_stream_reads_the_configuration_per_batch(spark, tmp_path):
         ("dwd_user", ["id", "name", "ts"]),
         ("dwd_user", ["id", "ts"]),
     ]
+
+
+def test_changes_of_one_second_keep_the_order_of_the_log(spark, tmp_path):
+    """The position in the log goes from the line to the merge, in whatever order the merge sees the rows."""
+    lines = [
+        ('{"database":"shop","table":"t","type":"delete","data":{"id":"1","a":"old"},"ts":5}', 1),
+        ('{"database":"shop","table":"t","type":"insert","data":{"id":"1","a":"new"},"ts":5}', 2),
+        ('{"database":"shop","table":"t","type":"update","data":{"id":"2","a":"a"},"ts":5}', 3),
+        ('{"database":"shop","table":"t","type":"update","data":{"id":"2","a":"b"},"ts":5}', 4),
+        ('{"database":"shop","table":"t","type":"insert","data":{"id":"3","a":"a"},"ts":5}', 5),
+        ('{"database":"shop","table":"t","type":"delete","data":{"id":"3","a":"a"},"ts":5}', 6),
+    ]
+    dims = spark.createDataFrame([("t", "dim_t", "id,a", "info", "id")], schemas.DIM_CONFIG)
+    for given in (lines, lines[::-1]):
+        read = src.change_log(spark.createDataFrame(given, "value string, pos bigint"))
+        got = {r.row_key: r.data["a"] for r in warehouse.dimension_rows(read, dims, "shop").collect()}
+        assert got == {"1": "new", "2": "b"}
+    table = CellTable(spark, str(tmp_path / "cells"))
+    for batch, some in enumerate((lines[3:], lines[:3])):
+        table.write_batch(dim_route(src.change_log(spark.createDataFrame(some, "value string, pos bigint")), dims), batch)
+    assert {r.row_key: r.data["a"] for r in table.read().collect()} == {"1": "new", "2": "b"}

@@ -88,3 +88,10 @@ def test_group_values_are_whole_and_paged(spark):
 def test_flow_record(spark):
     df = spark.createDataFrame([(3, 4)], "up bigint, down bigint")
     assert rows(basics.flow_record(df)) == [(3, 4, 7, "3\t4\t7")]
+
+
+def test_words_of_blank_lines(spark):
+    """A line of blanks only has no word, trailing blanks give none, an empty line is one empty word."""
+    lines = spark.createDataFrame([("   ",), ("a  b ",), ("",), (None,)], "value string")
+    got = [r.w for r in lines.select(text.words(F.col("value")).alias("w")).collect()]
+    assert got == [[], ["a", "", "b"], [""], None]

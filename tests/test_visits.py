@@ -207,3 +207,9 @@ def test_alert_within_one_second(spark):
     """All readings of a key in one second follow one another in arrival order."""
     data = [("a", 5, 0, 0), ("a", 5, 50, 1), ("a", 5, 45, 2), ("a", 6, 0, 3), ("b", 5, 9, 4)]
     assert rows(visits.jump_alert(spark.createDataFrame(data, READING), 10)) == [("a", 5, 0, 50), ("a", 6, 45, 0)]
+
+
+def test_null_device_is_a_key_like_others(spark):
+    """The first visit of a day is flagged for NULL too, in the flag and in a join with a summary."""
+    flat = visits.flat_visits(make_visits(spark, [(None, None, "1", 1000, 1), (None, None, "1", 2000, 2), ("m", "s", "1", 1000, 3)]))
+    assert sorted((r.seq, r.uv) for r in visits.daily_visitor_flag(flat).collect()) == [(1, 1), (2, 0), (3, 1)]

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.session import use_utc
+from tidewater.session import ship_package, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         @wraps(make)
         def run(spark: SparkSession, sf: str) -> DataFrame:
             use_utc(spark)
+            ship_package(spark)
             return make(spark, sf)
 
         QUERIES[name] = run

@@ -12,8 +12,12 @@ SEPARATORS = r"[\p{P}\p{S}\s]+"
 
 
 def words(line: Column, sep: str = " ") -> Column:
-    """Pieces of a line between single separators, trailing empty ones dropped as by a plain split."""
-    return F.split(F.regexp_replace(line, f"({re.escape(sep)})+$", ""), re.escape(sep))
+    """Pieces of a line between single separators, trailing empty ones dropped as by a plain split.
+
+    A line of separators only has no piece; an empty line is one empty piece.
+    """
+    cut = F.regexp_replace(line, f"({re.escape(sep)})+$", "")
+    return F.when((cut == "") & (line != ""), F.array().cast("array<string>")).otherwise(F.split(cut, re.escape(sep)))
 
 
 def tokens(text: Column) -> Column:

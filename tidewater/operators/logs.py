@@ -17,7 +17,9 @@ def parse(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataF
 
 
 def valid(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("bad").isNull() & F.col("row").isNotNull()).select("row.*").drop(BAD)
+    """Fields of the valid records, after them the position ``pos`` where the lines have one."""
+    kept = ["pos"] if "pos" in parsed.columns else []
+    return parsed.where(F.col("bad").isNull() & F.col("row").isNotNull()).select("row.*", *kept).drop(BAD)
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:

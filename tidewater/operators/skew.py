@@ -2,43 +2,52 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def hot_join(
-    left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "inner", extra: Column | None = None
+    left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "inner", extra: Column | None = None, null_safe: bool = False
 ) -> DataFrame:
     """Join where a key of ``left`` may be hot and an input may come out of a join or grouping on that key.
 
     ``keys`` maps left columns to right columns. Adaptive execution splits hot partitions only when both inputs
     are shuffles made for this join; an input that is already partitioned by the key would not be shuffled and
     so not be split. The hash in the condition asks for the shuffle. A side that Spark measures below the
-    broadcast threshold is broadcast at run time instead.
+    broadcast threshold is broadcast at run time instead. With ``null_safe`` NULL keys match each other.
     """
     lhs = left.withColumn("_left_hash", F.xxhash64(*keys.keys()))
     rhs = right.withColumn("_right_hash", F.xxhash64(*keys.values()))
     condition = F.col("_left_hash") == F.col("_right_hash")
     for a, b in keys.items():
-        condition = condition & (F.col(a) == F.col(b))
+        condition = condition & (F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b))
     if extra is not None:
         condition = condition & extra
     return lhs.join(rhs, condition, how).drop("_left_hash", "_right_hash")
 
 
 def attach(facts: DataFrame, summary: DataFrame, key: str) -> DataFrame:
-    """Left join with a summary of one row per ``key``, which leaves its grouping partitioned by the key."""
+    """Left join with a summary of one row per ``key``, NULL being a key like others.
+
+    The summary leaves its grouping partitioned by the key.
+    """
     other = f"{key}__summary"
-    return hot_join(facts, summary.withColumnRenamed(key, other), {key: other}, "left").drop(other)
+    return hot_join(facts, summary.withColumnRenamed(key, other), {key: other}, "left", null_safe=True).drop(other)
 
 
 def mark(facts: DataFrame, chosen: DataFrame, identity: tuple[str, ...], flag: str) -> DataFrame:
     """Flag the rows of ``facts`` whose identity is in ``chosen``.
 
-    The join key is the identity of the row, not its group, so the rows of a hot group spread over all tasks.
+    The join key is the identity of the row, not its group, so the rows of a hot group spread over all tasks. NULL
+    parts of an identity match each other.
     """
-    hits = chosen.select(*identity, F.lit(1).alias(flag))
-    return facts.join(hits, list(identity), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
+    hits = chosen.select(*[F.col(c).alias(f"{c}__chosen") for c in identity], F.lit(1).alias(flag))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}__chosen")) for c in identity])
+    marked = facts.join(hits, same, "left").drop(*[f"{c}__chosen" for c in identity])
+    return marked.withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
 
 
 def sorted_by(df: DataFrame, *order: Column, ties: tuple[str, ...] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -19,13 +20,12 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # hash instead of sort-merge where every measured partition of a side is small
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
 }
 
 _local_base: str | None = None
+_shipped: set[str] = set()
 
 
 def build_session(name: str = "tidewater", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,7 +34,21 @@ def build_session(name: str = "tidewater", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they need not find it themselves."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    source = Path(__file__).resolve().parent
+    if source.is_dir():  # not when the package already runs out of an archive
+        folder = Path(tempfile.mkdtemp(prefix="tidewater-package-"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(str(folder / "tidewater"), "zip", source.parent, source.name))
+    _shipped.add(spark.sparkContext.applicationId)
 
 
 def use_utc(spark: SparkSession) -> None:

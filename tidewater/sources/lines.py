@@ -15,7 +15,7 @@ from tidewater.operators.logs import dead_letters, parse, valid
 def read_lines(
     spark: SparkSession, fmt: str, start: str = "earliest", stream: bool = False, path: str | None = None, **options: str
 ) -> DataFrame:
-    """Raw lines as a string column ``value``.
+    """Raw lines as a string column ``value``; lines of a topic also have their offset in ``pos``.
 
     ``start`` is the offset a topic is read from, ``earliest`` for tables and ``latest`` for raw logs; file
     formats have no offsets. The Kafka format needs its public Spark package on the class path.
@@ -24,7 +24,8 @@ def read_lines(
     if fmt == "kafka":
         options = {"startingOffsets": start if stream else "earliest", **options}
     loaded = reader.format(fmt).options(**options).load(path)
-    return loaded.select(F.col("value").cast("string").alias("value"))
+    value = F.col("value").cast("string").alias("value")
+    return loaded.select(value, F.col("offset").alias("pos")) if fmt == "kafka" else loaded.select(value)
 
 
 def read_raw_log(spark: SparkSession, fmt: str, stream: bool = False, path: str | None = None, **options: str) -> DataFrame:
@@ -32,7 +33,11 @@ def read_raw_log(spark: SparkSession, fmt: str, stream: bool = False, path: str
 
 
 def change_log(lines: DataFrame) -> DataFrame:
-    """Change log out of JSON lines; lines that do not parse are skipped."""
+    """Change log out of JSON lines; lines that do not parse are skipped.
+
+    A position ``pos`` of the lines is kept: changes of one key lie in one partition of a topic, so it orders the
+    changes that share a second.
+    """
     return valid(parse(lines, schemas.CHANGE_LOG))
 
 
