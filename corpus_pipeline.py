@@ -11,7 +11,7 @@ from tidewater.llm.common import staged
 from tidewater.llm.dedup import without_copies
 from tidewater.llm.mixing import mixed_documents
 from tidewater.llm.simhash import one_of_each
-from tidewater.session import use_utc
+from tidewater.session import ship_package, use_utc
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")

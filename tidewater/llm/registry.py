@@ -6,7 +6,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.session import use_utc
+from tidewater.session import ship_package, use_utc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -17,6 +17,7 @@ def query(name: str, sql: str | None = None):
         @wraps(make)
         def run(spark: SparkSession, sf: str) -> DataFrame:
             use_utc(spark)
+            ship_package(spark)
             return make(spark, sf)
 
         QUERIES[name] = run
