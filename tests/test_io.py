@@ -137,3 +137,10 @@ def test_scratch_folder_follows_the_cluster_setting(spark):
         shared_base(session("yarn"))
     assert shared_base(session("local[2]")) == shared_base(session("local[4]"))
     assert new_dir(spark, "x") != new_dir(spark, "x")
+
+
+def test_a_repeated_run_replaces_its_rows(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "sink_table string, v int")
+    for run in (0, 1, 1):
+        out.write_by_target(df, str(tmp_path / "t"), run=run)
+    assert rows(spark.read.parquet(str(tmp_path / "t")).groupBy("sink_table", "v").count()) == [("a", 1, 2), ("b", 2, 2)]

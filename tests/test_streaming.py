@@ -142,7 +142,7 @@ def test_word_count_is_complete(spark, tmp_path):
 
 
 def test_keyed_table(spark, tmp_path):
-    """The greatest time wins whatever the batch, a repeated batch changes nothing, a snapshot reads the same."""
+    """The greatest time wins whatever the batch, a repeated batch changes nothing."""
     table = KeyedTable(spark, str(tmp_path / "t"), ("id",))
     schema = "id string, v string, ts bigint"
 
@@ -155,8 +155,6 @@ def test_keyed_table(spark, tmp_path):
     assert rows(table.read()) == want
     batch(1, ("a", "late", 3), ("b", "y", 1), ("c", "z", 9))
     assert rows(table.read()) == want
-    table.fold(1)
-    assert rows(table.read()) == want
     batch(2, ("c", "gone on", 10))
     assert rows(table.read()) == [("a", "new", 5), ("b", "y", 1), ("c", "gone on", 10)]
 

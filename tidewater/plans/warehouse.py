@@ -62,17 +62,21 @@ def stage_log(lines: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Parse log lines once into columns at ``path``; returns the valid records and the dead letters.
 
     The steps after it read the log more than once and only some columns of it, which JSON text cannot offer.
+    A second run replaces what the first has staged.
     """
-    parse(lines, schemas.APP_LOG).select("row", "bad").write.parquet(path)
+    parse(lines, schemas.APP_LOG).select("row", "bad").write.mode("overwrite").parquet(path)
     staged = lines.sparkSession.read.parquet(path)
     return valid(staged), dead_letters(staged)
 
 
-def write_log(lines: DataFrame, path: str, staging: str) -> None:
-    """Log lines into the folder of their route: five for repaired records, ``dirty`` for what is no record."""
+def write_log(lines: DataFrame, path: str, staging: str, run: int | None = None) -> None:
+    """Log lines into the folder of their route: five for repaired records, ``dirty`` for what is no record.
+
+    Given a ``run``, a repeated run overwrites its own rows.
+    """
     log, bad = stage_log(lines, staging)
     dirty = bad.select(F.lit("dirty").alias("route"), "value")
-    write_by_target(routes(repair_new_flag(log)).unionByName(dirty), path, "route")
+    write_by_target(routes(repair_new_flag(log)).unionByName(dirty), path, "route", run)
 
 
 def log_line_stream(lines: DataFrame) -> DataFrame:

@@ -30,9 +30,15 @@ def write_text(df: DataFrame, path: str, codec: str = "none") -> None:
     df.write.option("compression", codec).text(path)
 
 
-def write_by_target(df: DataFrame, path: str, target: str = "sink_table") -> None:
-    """Each row into the folder of the target named in it."""
-    df.write.partitionBy(target).mode("append").parquet(path)
+def write_by_target(df: DataFrame, path: str, target: str = "sink_table", run: int | None = None) -> None:
+    """Each row into the folder of the target named in it.
+
+    Given a ``run``, the rows stand under ``run=`` and a repeated run overwrites its own; else they are appended.
+    """
+    if run is None:
+        df.write.partitionBy(target).mode("append").parquet(path)
+    else:
+        df.write.partitionBy(target).mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def write_routed(lines: DataFrame, path: str, token: str) -> None:
