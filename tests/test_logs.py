@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from tidewater import schemas
 from tidewater.operators import logs
@@ -23,11 +25,17 @@ LINES = [
     line(7)[:-1],
     "no json",
     '"a text"',
+    line(8) + " and more",
+    line(9) + "," + line(10),
 ]
 
 
 def parsed(spark):
-    return logs.parse(spark.createDataFrame([(l,) for l in LINES], "value string"), schemas.APP_LOG)
+    return logs.parse_records(spark.createDataFrame([(l,) for l in LINES], "value string"))
+
+
+def records(spark):
+    return logs.valid_records(parsed(spark), schemas.APP_LOG)
 
 
 def seqs(df):
@@ -36,12 +44,12 @@ def seqs(df):
 
 def test_valid_and_dead(spark):
     df = parsed(spark)
-    assert seqs(logs.valid(df)) == [1, 2, 3, 4, 5, 6]
+    assert seqs(logs.valid_records(df, schemas.APP_LOG)) == [1, 2, 3, 4, 5, 6]
     assert sorted(r.value for r in logs.dead_letters(df).collect()) == sorted(LINES[6:])
 
 
 def test_split(spark):
-    log = logs.valid(parsed(spark))
+    log = records(spark)
     assert seqs(logs.errors(log)) == [3, 4]
     assert seqs(logs.starts(log)) == [4, 5]
     assert [r.display["item"] for r in logs.displays(log).collect()] == ["a", "b"]
@@ -50,19 +58,19 @@ def test_split(spark):
 
 
 def test_start_goes_on_without_its_error(spark):
-    log = logs.valid(parsed(spark))
+    log = records(spark)
     assert "err" in logs.errors(log).columns and "err" not in logs.starts(log).columns
 
 
 def test_action_time_is_left_out_unless_asked_for(spark):
-    log = logs.valid(parsed(spark))
+    log = records(spark)
     assert [r.ts for r in logs.actions(log).collect()] == [None]
     assert [r.ts for r in logs.actions(log, keep_ts=True).collect()] == [1002]
     assert {r.ts for r in logs.displays(log).collect()} == {1002}
 
 
 def test_routes_match_the_split(spark):
-    log = logs.valid(parsed(spark))
+    log = records(spark)
     counts = {r.route: r["count"] for r in logs.routes(log).groupBy("route").count().collect()}
     assert counts == {"err": 2, "start": 2, "display": 2, "action": 1, "page": 4}
     actions = [json.loads(r.value) for r in logs.routes(log).where("route = 'action'").collect()]
@@ -75,4 +83,32 @@ def test_write_log(spark, tmp_path):
     lines = spark.createDataFrame([(l,) for l in LINES], "value string")
     warehouse.write_log(lines, str(tmp_path / "out"), str(tmp_path / "staging"))
     got = spark.read.parquet(str(tmp_path / "out")).groupBy("route").count()
-    assert dict(rows(got)) == {"err": 2, "start": 2, "display": 2, "action": 1, "page": 4, "dirty": 3}
+    assert dict(rows(got)) == {"err": 2, "start": 2, "display": 2, "action": 1, "page": 4, "dirty": 5}
+
+
+def test_null_lines_go_nowhere(spark):
+    df = logs.parse_records(spark.createDataFrame([(None,), ("",)], "value string"))
+    assert logs.valid_records(df, schemas.APP_LOG).count() == 0
+    assert [r.value for r in logs.dead_letters(df).collect()] == [""]
+
+
+def test_routes_keep_unknown_fields_and_types(spark):
+    """Numbers, nested values and fields outside the schema reach every output; only the flag changes."""
+    common = {"mid": 7, "is_new": "1", "os": "x", "md": None}
+    page = {"item": "i", "during_time": 5, "tags": [1, 2.5, {"a": True}]}
+    whole = {"common": common, "page": page, "err": {"code": 1}, "displays": [{"pos_seq": 3}], "extra": {"n": [None]}, "ts": 9}
+    lines = spark.createDataFrame([(json.dumps(whole),)], "value string")
+    log = logs.valid_records(logs.parse_records(lines), schemas.APP_LOG)
+    fixed = log.withColumn("common", F.col("common").withField("is_new", F.lit("0")))
+    got = {r.route: json.loads(r.value) for r in logs.routes(fixed).collect()}
+    common["is_new"] = "0"
+    assert got["err"] == whole
+    assert got["display"] == {"common": common, "page": page, "display": {"pos_seq": 3}, "ts": 9}
+    assert got["page"] == {k: v for k, v in whole.items() if k not in ("err", "displays")}
+
+
+def test_a_line_is_parsed_once(spark):
+    plan = logs.valid_records(logs.parse_records(spark.range(1).selectExpr("cast(id as string) value")), schemas.APP_LOG)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("parseJson") == 1
+    plan = logs.valid(logs.parse(spark.range(1).selectExpr("cast(id as string) value"), schemas.CHANGE_LOG))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("from_json") == 1

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
-from tidewater import schemas
 from tidewater.catalog.registry import query
 from tidewater.catalog.sqltext import LOG, text
 from tidewater.functions.text import register_tokenizer
@@ -33,7 +32,7 @@ def json_valid(spark, sf):
 
 @query("json_dead_letter", "SELECT event_id AS seq FROM events WHERE event_id % 97 = 0")
 def json_dead_letter(spark, sf):
-    bad = logs.dead_letters(logs.parse(fx.app_log_lines(spark, sf), schemas.APP_LOG))
+    bad = logs.dead_letters(logs.parse_records(fx.app_log_lines(spark, sf)))
     return bad.select(F.regexp_extract("value", r'"seq":(\d+)$', 1).cast("bigint").alias("seq"))
 
 
@@ -81,9 +80,33 @@ def split_page(spark, sf):
     )
 
 
-def routed_counts(rows):
-    is_new = F.when(F.col("route") != "dirty", F.get_json_object("value", "$.common.is_new"))
-    return rows.groupBy("route", is_new.alias("is_new")).agg(F.count("*").alias("n"))
+# The JSON text of every output, fields in the order of their names where a record goes on as it was.
+PAYLOADS = """
+parts AS (
+  SELECT *, '{"ar":"' || ar || '","ch":"' || ch || '","is_new":"' || flag || '","mid":"' || mid || '","sid":"' || sid
+      || '","uid":' || mid || ',"vc":"' || vc || '"}' AS common,
+    '{"during_time":' || coalesce('"' || during_time || '"', 'null') || ',"item":' || coalesce('"' || item || '"', 'null')
+      || ',"item_type":"' || item_type || '","last_page_id":"' || last_page_id || '"}' AS page,
+    ',"trace":{"path":[' || seq || ',' || mid || '],"sampled":true},"ts":' || ts || '}' AS rest
+  FROM fixed
+),
+heads AS (SELECT *, '{"common":' || common AS head, ',"page":' || page AS paged, ',"seq":' || seq AS numbered FROM parts)
+SELECT 'err' AS route, head || ',"err":{"code":"' || k || '"}' || paged || numbered || rest AS value
+  FROM heads WHERE event_type = 'error'
+UNION ALL SELECT 'start', head || paged || numbered || ',"start":{"entry":"' || k || '"}' || rest
+  FROM heads WHERE event_type = 'signup'
+UNION ALL SELECT 'display', head || paged || ',"display":{"item":"d' || k || '","pos":"' || pos || '"},"ts":' || ts || '}'
+  FROM heads, range(1, 3) r(pos) WHERE pos <= n_displays
+UNION ALL SELECT 'action', head || paged || ',"action":{"item":"a' || k || '","pos":"' || pos || '"}}'
+  FROM heads, range(1, 3) r(pos) WHERE pos <= n_actions
+UNION ALL SELECT 'page', head || paged || numbered || rest FROM heads WHERE event_type <> 'signup'
+UNION ALL SELECT 'dirty', CAST(seq AS VARCHAR) FROM log WHERE seq % 97 = 0"""
+
+
+def routed(rows):
+    """The outputs; of a broken line its number, which ends it."""
+    number = F.regexp_extract("value", r'"seq":(\d+)$', 1)
+    return rows.select("route", F.when(F.col("route") == "dirty", number).otherwise(F.col("value")).alias("value"))
 
 
 @query(
@@ -99,19 +122,14 @@ fixed AS (
   SELECT good.*, CASE WHEN is_new = '1' AND CAST(et AS DATE) <> CASE WHEN new0 = '1' THEN day0 ELSE day0 - 1 END
     THEN '0' ELSE is_new END AS flag
   FROM good JOIN first USING (mid)
-)
-SELECT 'err' AS route, flag AS is_new, count(*) AS n FROM fixed WHERE event_type = 'error' GROUP BY flag
-UNION ALL SELECT 'start', flag, count(*) FROM fixed WHERE event_type = 'signup' GROUP BY flag
-UNION ALL SELECT 'display', flag, CAST(sum(n_displays) AS BIGINT) FROM fixed WHERE n_displays > 0 GROUP BY flag
-UNION ALL SELECT 'action', flag, CAST(sum(n_actions) AS BIGINT) FROM fixed WHERE n_actions > 0 GROUP BY flag
-UNION ALL SELECT 'page', flag, count(*) FROM fixed WHERE event_type <> 'signup' GROUP BY flag
-UNION ALL SELECT 'dirty', NULL, count(*) FROM log WHERE seq % 97 = 0
+),
+{PAYLOADS}
 """,
 )
 def log_routes(spark, sf):
     path = new_dir(spark, "log-routes")
     warehouse.write_log(fx.app_log_lines(spark, sf), path, new_dir(spark, "log-staging"))
-    return routed_counts(spark.read.schema("value string, route string").parquet(path))
+    return routed(spark.read.schema("value string, route string").parquet(path))
 
 
 @query(

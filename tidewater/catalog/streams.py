@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewater import fixtures as fx
 from tidewater.catalog.facts import DETAIL_SQL, ORDER_TABLES, PAY_SQL
 from tidewater.catalog.dims import dim_columns
-from tidewater.catalog.logs import routed_counts
+from tidewater.catalog.logs import routed
 from tidewater.catalog.registry import SQL, query
 from tidewater.catalog.visits import ALERT_SQL, NEW_FLAG_SQL, SV_SQL, TOP_SQL, UV_SQL
 from tidewater.operators import changes, facts, visits, windows
@@ -133,7 +133,7 @@ def log_routes_stream(spark, sf):
     path = new_dir(spark, "log-lines")
     write_text(fx.app_log_lines(spark, sf), path)
     lines = read_lines(spark, "text", stream=True, path=path)
-    return routed_counts(run_to_end(warehouse.log_line_stream(lines), "log-routes"))
+    return routed(run_to_end(warehouse.log_line_stream(lines), "log-routes"))
 
 
 @query("dim_tables_stream", SQL["dim_tables"])

@@ -441,9 +441,12 @@ def app_log(spark: SparkSession, sf: str, stream: bool = False) -> DataFrame:
 
 
 def app_log_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Application log as JSON lines, some of them cut short."""
+    """Application log as JSON lines, some of them cut short, with fields that the schema does not name."""
     log = app_log(spark, sf)
-    lines = log.select(F.to_json(F.struct(*log.columns)).alias("value"), "seq")
+    number = F.col("common.mid").cast("bigint")
+    trace = F.struct(F.array("seq", number).alias("path"), F.lit(True).alias("sampled"))
+    lines = log.withColumn("common", F.col("common").withField("uid", number)).withColumn("trace", trace)
+    lines = lines.select(F.to_json(F.struct(*log.columns[:-1], "trace", "seq")).alias("value"), "seq")
     return lines.select(broken(F.col("value"), F.col("seq")).alias("value"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater import schemas
 from tidewater.operators.changes import config_snapshot, dim_etl, drop_bootstrap
-from tidewater.operators.logs import dead_letters, pages, parse, routes, valid
+from tidewater.operators.logs import dead_letters, fields_of, pages, parse_records, routes, valid_records
 from tidewater.operators.routing import dim_route, dwd_route
 from tidewater.operators.visits import HOUR_MS, flat_visits, repair_new_flag
 from tidewater.functions.time import et_from_millis
@@ -59,14 +59,14 @@ def split_changes_stream(
 
 
 def stage_log(lines: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Parse log lines once into columns at ``path``; returns the valid records and the dead letters.
+    """Parse log lines once into columns and the whole record at ``path``; returns valid records and dead letters.
 
     The steps after it read the log more than once and only some columns of it, which JSON text cannot offer.
     A second run replaces what the first has staged.
     """
-    parse(lines, schemas.APP_LOG).select("row", "bad").write.mode("overwrite").parquet(path)
+    parse_records(lines).select(*fields_of(schemas.APP_LOG), "record", "bad").write.mode("overwrite").parquet(path)
     staged = lines.sparkSession.read.parquet(path)
-    return valid(staged), dead_letters(staged)
+    return staged.where(F.col("record").isNotNull()).drop("bad"), dead_letters(staged)
 
 
 def write_log(lines: DataFrame, path: str, staging: str, run: int | None = None) -> None:
@@ -82,16 +82,14 @@ def write_log(lines: DataFrame, path: str, staging: str, run: int | None = None)
 def log_line_stream(lines: DataFrame) -> DataFrame:
     """The log split as a stream of ``route, value``; the visitor flag comes from keyed state per device.
 
-    A record passes the state as its key columns and its JSON text, not as nested values.
+    A record passes the state as its key columns and its line, which Arrow moves as text, and is read again after it.
     """
-    parsed = parse(lines, schemas.APP_LOG)
-    keyed = valid(parsed).select(
-        "common.mid", "common.is_new", "ts", "seq", F.to_json(F.struct(*schemas.APP_LOG.names)).alias("record")
-    )
-    fixed = state.repair_new_flag(keyed).select("is_new", F.from_json("record", schemas.APP_LOG).alias("row"))
-    log = fixed.select("row.*", "is_new").withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
+    parsed = parse_records(lines)
+    log = valid_records(parsed.select("record", "value"), schemas.APP_LOG)
+    keyed = log.select("common.mid", "common.is_new", "ts", "seq", F.to_json("record").alias("value"))
+    fixed = parse_records(state.repair_new_flag(keyed)).select(F.struct("is_new").alias("common"), "record")
     dirty = dead_letters(parsed).select(F.lit("dirty").alias("route"), "value")
-    return routes(log.drop("is_new")).unionByName(dirty)
+    return routes(fixed).unionByName(dirty)
 
 
 def keyword_summary(log: DataFrame, size: str = "5 seconds") -> DataFrame:

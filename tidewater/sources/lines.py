@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidewater import schemas
 from tidewater.functions.time import et_from_millis, et_from_seconds
 from tidewater.operators.changes import choose_row
-from tidewater.operators.logs import dead_letters, parse, valid
+from tidewater.operators.logs import dead_letters, parse, parse_records, valid, valid_records
 
 
 def read_lines(
@@ -46,7 +46,8 @@ def change_log_dead_letters(lines: DataFrame) -> DataFrame:
 
 
 def app_log(lines: DataFrame) -> DataFrame:
-    return valid(parse(lines, schemas.APP_LOG))
+    """Application log out of JSON lines: its columns and the whole ``record``."""
+    return valid_records(parse_records(lines), schemas.APP_LOG)
 
 
 def config_changes(lines: DataFrame, row: T.StructType = schemas.DIM_CONFIG) -> DataFrame:
