@@ -8,6 +8,7 @@ from tidewater.functions.values import keep_columns, with_entry
 from tidewater.operators import changes
 from tidewater.operators.routing import dim_route, dwd_route
 from tidewater.plans import warehouse
+from tidewater.session import settings
 from tidewater.sinks.keyed import CellTable, cell_rows
 from tidewater.sources import lines as src
 
@@ -117,12 +118,19 @@ def test_routes(spark):
     assert [r.data for r in dwd_route(df, facts).collect()] == [{"id": "1", "ts": "7"}]
 
 
-def test_routes_without_broadcast(spark, monkeypatch):
-    """A configuration past the limit is joined like any table and gives the same rows."""
-    monkeypatch.setattr("tidewater.operators.routing.MAX_ENTRIES", 0)
-    dims = spark.createDataFrame([("user", "dim_user", "id", "info", "id")], schemas.DIM_CONFIG)
+def test_routes_without_broadcast(spark):
+    """A configuration that Spark measures above the threshold is joined like any table and gives the same rows."""
+    dims = spark.createDataFrame([("user", "dim_user", "id", "info", "id"), (None, "none", "id", "info", "id")], schemas.DIM_CONFIG)
     df = log(spark, ("user", "insert", {"id": "1"}, None, 7), ("x", "insert", {"id": "3"}, None, 9))
-    assert [r.row_key for r in dim_route(df, dims).collect()] == ["1"]
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        routed = dim_route(df, dims)
+        assert "Broadcast" not in routed._jdf.queryExecution().executedPlan().toString()
+        assert [r.row_key for r in routed.collect()] == ["1"]
+
+
+def test_routes_with_no_configuration(spark):
+    df = log(spark, ("user", "insert", {"id": "1"}, None, 7))
+    assert dim_route(df, spark.createDataFrame([], schemas.DIM_CONFIG)).collect() == []
 
 
 def test_cells(spark):

@@ -21,41 +21,61 @@ from tidewater.sinks.keyed import CellTable, cell_rows
 from tidewater.streaming import state
 
 
+def _start(
+    log: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None
+) -> StreamingQuery:
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def dimension_rows(log: DataFrame, config: DataFrame, database: str) -> DataFrame:
     """Current dimension rows: change log, cleaned, routed by configuration, pruned and folded by row key."""
     return cell_rows(dim_route(dim_etl(log, database), config))
 
 
 def dimension_stream(
-    log: DataFrame, read_config: Callable[[], DataFrame], table: CellTable, checkpoint: str, database: str
+    log: DataFrame,
+    read_config: Callable[[], DataFrame],
+    table: CellTable,
+    checkpoint: str,
+    database: str,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """The dimension job as a stream: each batch reads the configuration changes so far and stores its cells."""
+    """The dimension job as a stream: each batch reads the configuration changes so far and stores its cells.
+
+    Without ``interval`` the job handles what is there now and ends.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(dim_route(dim_etl(batch, database), config_snapshot(read_config())), batch_id)
+        config = config_snapshot(read_config())
+        table.write_batch(dim_route(dim_etl(batch, database), config, f"{checkpoint}-config"), batch_id)
 
-    return (
-        log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return _start(log, write, checkpoint, interval)
 
 
-def split_changes(log: DataFrame, config: DataFrame) -> DataFrame:
+def split_changes(log: DataFrame, config: DataFrame, staging: str | None = None) -> DataFrame:
     """Changes routed to the fact table their table and type are configured for."""
-    return dwd_route(drop_bootstrap(log), config)
+    return dwd_route(drop_bootstrap(log), config, staging)
 
 
 def split_changes_stream(
-    log: DataFrame, read_config: Callable[[], DataFrame], path: str, checkpoint: str, keys: tuple[str, ...] = ("source_table", "source_type")
+    log: DataFrame,
+    read_config: Callable[[], DataFrame],
+    path: str,
+    checkpoint: str,
+    keys: tuple[str, ...] = ("source_table", "source_type"),
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """The dynamic split as a stream: each batch reads the configuration as it stands and appends per target."""
+    """The dynamic split as a stream: each batch reads the configuration as it stands and appends per target.
+
+    Without ``interval`` the job handles what is there now and ends.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = split_changes(batch, config_snapshot(read_config(), keys))
+        routed = split_changes(batch, config_snapshot(read_config(), keys), f"{checkpoint}-config")
         routed.write.mode("overwrite").partitionBy("sink_table").parquet(f"{path}/batch={batch_id}")
 
-    return (
-        log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return _start(log, write, checkpoint, interval)
 
 
 def stage_log(lines: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
