@@ -97,6 +97,40 @@ def test_visit_flags_span_batches(spark, tmp_path, visit_rows):
     assert {r.seq: r.sv for r in sessions.collect()} == loop_sessions(visit_rows, HOUR)
 
 
+def state_rows(df, tmp_path):
+    """Rows in the state after each micro-batch."""
+    query = (
+        df.writeStream.format("noop").outputMode("append").option("checkpointLocation", str(tmp_path / "state-check"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def test_state_is_forgotten_and_flags_stay(spark, tmp_path, visit_rows):
+    """With a watermark, 50 sessions and readings of the first batches leave the state, and flags are as without."""
+    many = [(f"m{i}", f"s{i}", "1", 1000 + i, i) for i in range(50)]
+    late = [[("z", "z", "1", 5 * DAY + i * DAY, 100 + i)] for i in range(3)]
+    schema = VISIT
+    stream = files(spark, tmp_path / "v", schema, many, *late)
+    timed = stream.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", "5 seconds")
+    for flagged in (state.session_flag(timed, HOUR, et="et"), state.daily_visitor_flag(timed, et="et")):
+        held = state_rows(flagged, tmp_path / flagged.columns[-1])
+        assert max(held) >= 50 and held[-1] < 10
+    readings = [(f"k{i}", 1, 0, i) for i in range(50)]
+    stream = files(spark, tmp_path / "r", READING, readings, [("z", 1000, 0, 90)], [("z", 2000, 0, 91)], [("z", 3000, 0, 92)])
+    timed = stream.withColumn("et", F.timestamp_seconds("sec")).withWatermark("et", "2 seconds")
+    held = state_rows(state.jump_alert(timed, 10, et="et"), tmp_path / "a")
+    assert max(held) >= 50 and held[-1] < 10
+
+    stream = files(spark, tmp_path / "p", VISIT, *in_batches(visit_rows, lambda r: (r[3], r[4]), 50))
+    timed = stream.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", "1 day")
+    daily = run_to_end(state.daily_visitor_flag(timed, et="et"), "uv-timed")
+    assert {r.seq: r.uv for r in daily.collect()} == loop_daily(visit_rows)
+    sessions = run_to_end(state.session_flag(timed, HOUR, et="et"), "sv-timed")
+    assert {r.seq: r.sv for r in sessions.collect()} == loop_sessions(visit_rows, HOUR)
+
+
 def test_timer_fires_once_per_registration(spark, tmp_path):
     """A timer fires when the watermark passes it; registering twice is one timer, a passed one fires again."""
     stream = files(

@@ -29,6 +29,10 @@ def _flat(spark, sf):
     return visits.flat_visits(fx.app_log(spark, sf, stream=True)).drop("day")
 
 
+def _timed(rows, seconds):
+    return rows.withColumn("et", F.timestamp_seconds(seconds)).withWatermark("et", "5 seconds")
+
+
 @query("is_new_fix_stream", NEW_FLAG_SQL)
 def is_new_fix_stream(spark, sf):
     return run_to_end(state.repair_new_flag(_flat(spark, sf)), "new-flag").select("seq", "mid", "is_new")
@@ -36,17 +40,17 @@ def is_new_fix_stream(spark, sf):
 
 @query("uv_flag_stream", UV_SQL)
 def uv_flag_stream(spark, sf):
-    return run_to_end(state.daily_visitor_flag(_flat(spark, sf)), "uv-flag").select("seq", "mid", "uv")
+    return run_to_end(state.daily_visitor_flag(_timed(_flat(spark, sf), F.col("ts") / 1000), et="et"), "uv-flag").select("seq", "mid", "uv")
 
 
 @query("sv_flag_stream", SV_SQL)
 def sv_flag_stream(spark, sf):
-    return run_to_end(state.session_flag(_flat(spark, sf)), "sv-flag").select("seq", "sid", "sv")
+    return run_to_end(state.session_flag(_timed(_flat(spark, sf), F.col("ts") / 1000), et="et"), "sv-flag").select("seq", "sid", "sv")
 
 
 @query("jump_alert_stream", ALERT_SQL)
 def jump_alert_stream(spark, sf):
-    return run_to_end(state.jump_alert(fx.readings(spark, sf, stream=True), ttl=3600), "alert")
+    return run_to_end(state.jump_alert(_timed(fx.readings(spark, sf, stream=True), "sec"), ttl=3600, et="et"), "alert")
 
 
 TIMER_MS = 1_705_276_800_000  # 2024-01-15, inside the time span of the events

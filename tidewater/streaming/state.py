@@ -3,6 +3,10 @@
 Rows of a key come in Arrow batches. Where the order matters, a processor sorts the rows a key has in one
 micro-batch by their time and sequence, so the amount admitted per trigger (``maxFilesPerTrigger``,
 ``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``) bounds its memory. State per key is a few values.
+
+Alerts, daily flags and session flags forget. Given ``et``, the watermarked time column, a timer clears the state of
+a key when the watermark has passed the moment after which it can matter to no further row; without ``et`` a query
+has no watermark and keeps its state.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+DAY_MS = 86_400_000
 LAST = T.StructType([T.StructField("at", T.LongType()), T.StructField("val", T.LongType())])
 DAY = T.StructType([T.StructField("day", T.StringType())])
 MOMENT = T.StructType([T.StructField("at", T.LongType())])
@@ -28,24 +33,48 @@ def _days(ms: pd.Series) -> pd.Series:
     return pd.to_datetime(ms, unit="ms").dt.strftime("%Y-%m-%d")
 
 
-class JumpAlert(StatefulProcessor):
-    """Alert when a reading is more than ``threshold`` away from the last one, unless that is ``ttl`` old."""
+class Forgetful(StatefulProcessor):
+    """A processor whose key forgets its only value ``kept`` when the timer of its last update fires."""
+
+    timed = False
+
+    def lasts_until(self) -> int:
+        """Milliseconds until which the value matters."""
+        raise NotImplementedError
+
+    def remember(self, value: tuple) -> None:
+        self.kept.update(value)
+        if self.timed:
+            self.handle.registerTimer(self.lasts_until())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Timers of values that were replaced since find a value that lasts longer."""
+        if self.kept.exists() and self.lasts_until() <= expiredTimerInfo.getExpiryTimeInMs():
+            self.kept.clear()
+        return iter(())
+
 
-    def __init__(self, ttl: int, threshold: int):
-        self.ttl, self.threshold = ttl, threshold
+class JumpAlert(Forgetful):
+    """Alert when a reading is more than ``threshold`` away from the last one, unless that is ``ttl`` seconds old."""
+
+    def __init__(self, ttl: int, threshold: int, timed: bool = False):
+        self.ttl, self.threshold, self.timed = ttl, threshold, timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", LAST)
+        self.handle, self.kept = handle, handle.getValueState("last", LAST)
+
+    def lasts_until(self) -> int:
+        return (self.kept.get()[0] + self.ttl) * 1000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, "sec", "seq")
-        before = self.last.get() if self.last.exists() else (None, None)
+        before = self.kept.get() if self.kept.exists() else (None, None)
         prev_sec = batch["sec"].shift(1, fill_value=-1).to_numpy(dtype="float64")
         prev_val = batch["val"].shift(1, fill_value=0).to_numpy(dtype="float64")
         prev_sec[0], prev_val[0] = (np.nan, np.nan) if before[0] is None else before
         near = batch["sec"].to_numpy() - prev_sec < self.ttl
         hit = near & (np.abs(prev_val - batch["val"].to_numpy()) > self.threshold)
-        self.last.update((int(batch["sec"].iloc[-1]), int(batch["val"].iloc[-1])))
+        self.remember((int(batch["sec"].iloc[-1]), int(batch["val"].iloc[-1])))
         out = batch.loc[hit, ["key", "sec", "val"]]
         yield out.assign(prev_val=prev_val[hit].astype("int32"))[["key", "sec", "prev_val", "val"]]
 
@@ -80,46 +109,54 @@ class NewFlagRepair(StatefulProcessor):
         pass
 
 
-class DailyVisitor(StatefulProcessor):
-    """``uv`` is 1 when the day differs from that of the previous visit of the device."""
+class DailyVisitor(Forgetful):
+    """``uv`` is 1 when the day differs from that of the previous visit of the device; it matters until that day is over."""
+
+    def __init__(self, timed: bool = False):
+        self.timed = timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", DAY)
+        self.handle, self.kept = handle, handle.getValueState("last", DAY)
+
+    def lasts_until(self) -> int:
+        return int(pd.Timestamp(self.kept.get()[0]).timestamp() * 1000) + DAY_MS
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, "ts", "seq")
         days = _days(batch["ts"])
         before = days.shift(1)
-        before.iloc[0] = self.last.get()[0] if self.last.exists() else ""
-        self.last.update((days.iloc[-1],))
+        before.iloc[0] = self.kept.get()[0] if self.kept.exists() else ""
+        self.remember((days.iloc[-1],))
         yield batch.assign(uv=(days != before).astype("int32"))
 
     def close(self) -> None:
         pass
 
 
-class SessionStart(StatefulProcessor):
+class SessionStart(Forgetful):
     """``sv`` is 1 when no visit opened a session of this ``sid`` within the last ``ttl_ms``."""
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int, timed: bool = False):
+        self.ttl_ms, self.timed = ttl_ms, timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.opened = handle.getValueState("opened", MOMENT)
+        self.handle, self.kept = handle, handle.getValueState("opened", MOMENT)
+
+    def lasts_until(self) -> int:
+        return self.kept.get()[0] + self.ttl_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, "ts", "seq")
         ts = batch["ts"].to_numpy()
         flags = np.zeros(len(ts), dtype="int32")
-        at = 0
-        if self.opened.exists():
-            last = self.opened.get()[0]
-            at = int(np.searchsorted(ts, last + self.ttl_ms))
+        at = int(np.searchsorted(ts, self.lasts_until())) if self.kept.exists() else 0
+        last = None
         while at < len(ts):
             flags[at] = 1
             last = int(ts[at])
             at = int(np.searchsorted(ts, last + self.ttl_ms))
-        self.opened.update((int(last),))
+        if last is not None:
+            self.remember((last,))
         yield batch.assign(sv=flags)
 
     def close(self) -> None:
@@ -148,9 +185,10 @@ class FixedTimer(StatefulProcessor):
         pass
 
 
-def jump_alert(readings: DataFrame, ttl: int = 10, threshold: int = 10) -> DataFrame:
+def jump_alert(readings: DataFrame, ttl: int = 10, threshold: int = 10, et: str | None = None) -> DataFrame:
+    """``et`` names the watermarked time column of the readings, by which old readings are forgotten."""
     return readings.groupBy("key").transformWithStateInPandas(
-        JumpAlert(ttl, threshold), "key string, sec int, prev_val int, val int", "Append", "None"
+        JumpAlert(ttl, threshold, bool(et)), "key string, sec int, prev_val int, val int", "Append", "EventTime" if et else "None"
     )
 
 
@@ -162,18 +200,19 @@ def _flagged(df: DataFrame, flag: str) -> T.StructType:
     return T.StructType(df.schema.fields + [T.StructField(flag, T.IntegerType())])
 
 
-def _run(df: DataFrame, key: str, processor: StatefulProcessor, flag: str, et: str | None) -> DataFrame:
+def _run(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType, et: str | None) -> DataFrame:
     mode = {"timeMode": "EventTime", "eventTimeColumnName": et} if et else {"timeMode": "None"}
-    return df.groupBy(key).transformWithStateInPandas(processor, _flagged(df, flag), "Append", **mode)
+    return df.groupBy(key).transformWithStateInPandas(processor, schema, "Append", **mode)
 
 
 def daily_visitor_flag(visits: DataFrame, et: str | None = None) -> DataFrame:
-    """``et`` names the watermarked time column, when a windowed summary follows."""
-    return _run(visits, "mid", DailyVisitor(), "uv", et)
+    """``et`` names the watermarked time column, by which past days are forgotten and a windowed summary may follow."""
+    return _run(visits, "mid", DailyVisitor(bool(et)), _flagged(visits, "uv"), et)
 
 
 def session_flag(visits: DataFrame, ttl_ms: int = 3_600_000, et: str | None = None) -> DataFrame:
-    return _run(visits, "sid", SessionStart(ttl_ms), "sv", et)
+    """``et`` names the watermarked time column, by which old sessions are forgotten and a summary may follow."""
+    return _run(visits, "sid", SessionStart(ttl_ms, bool(et)), _flagged(visits, "sv"), et)
 
 
 def timer_fire(pairs: DataFrame, at_ms: int = 5000) -> DataFrame:
