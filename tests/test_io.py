@@ -88,6 +88,12 @@ def test_partition_concat(spark):
     assert (row.n, sorted(row.text)) == (3, ["a", "b", "c"])
 
 
+def test_partition_concat_in_pieces(spark):
+    df = text(spark, "aa", "bb", "cc", "dddd", "e").coalesce(1)
+    pieces = [(r.n, r.text) for r in out.partition_concat(df, 4).collect()]
+    assert pieces == [(2, "aabb"), (2, "ccdddd"), (1, "e")]
+
+
 def test_json_lines_use_snake_case(spark):
     df = spark.createDataFrame([("x", None, 1)], "curDate string, isNew string, pvCount bigint")
     assert out.json_lines(df).first().value == '{"cur_date":"x","is_new":null,"pv_count":1}'

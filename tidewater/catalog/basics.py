@@ -82,11 +82,16 @@ def distinct_sorted(spark, sf):
     return basics.distinct_sorted(fx.table(spark, sf, "pages").select("url"))
 
 
+DEALT = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
 @query(
     "group_collect",
     f"""
-SELECT {K} % 2 AS k, event_id // 1000 AS page, array_to_string(list_sort(list({K})), ',') AS items
-FROM events GROUP BY 1, 2
+SELECT k, CASE WHEN pages > 1 THEN {DEALT} % pages ELSE 0 END AS page, array_to_string(list_sort(list(v)), ',') AS items
+FROM (
+  SELECT {K} % 2 AS k, {K} AS v, event_id, CAST(ceil(count(*) OVER (PARTITION BY {K} % 2) / 1000.0) AS BIGINT) AS pages FROM events
+) GROUP BY 1, 2
 """,
 )
 def group_collect(spark, sf):
@@ -98,8 +103,10 @@ def group_collect(spark, sf):
 @query(
     "group_by_key",
     f"""
-SELECT event_type AS k, event_id // 1000 AS page, array_to_string(list_sort(list(user_id)), ',') AS items
-FROM events GROUP BY 1, 2
+SELECT k, CASE WHEN pages > 1 THEN {DEALT} % pages ELSE 0 END AS page, array_to_string(list_sort(list(v)), ',') AS items
+FROM (
+  SELECT event_type AS k, user_id AS v, event_id, CAST(ceil(count(*) OVER (PARTITION BY event_type) / 1000.0) AS BIGINT) AS pages FROM events
+) GROUP BY 1, 2
 """,
 )
 def group_by_key(spark, sf):
@@ -137,7 +144,8 @@ def sort_last_char(spark, sf):
 
 @query("sort_by_key", f"SELECT {QTY} % 2 AS k, {QTY} AS v FROM lineitem ORDER BY k, v")
 def sort_by_key(spark, sf):
-    return basics.sort_by_key(_pairs(spark, sf))
+    rows = _numbers(spark, sf).select((F.col("num") % 2).alias("k"), F.col("num").alias("v"), "l_orderkey", "l_linenumber")
+    return basics.sort_by_key(rows, ("l_orderkey", "l_linenumber")).select("k", "v")
 
 
 @query("take_n", "SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 3")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions.text import words
-from tidewater.operators.skew import sorted_by
+from tidewater.operators.skew import attach, sorted_by
 
 
 def sql_filter(df: DataFrame, view: str, condition: str) -> DataFrame:
@@ -45,12 +45,16 @@ def flow_record(df: DataFrame, up: str = "up", down: str = "down") -> DataFrame:
 
 
 def group_values(df: DataFrame, key: Column, value: Column, row_id: Column, page_rows: int = 10_000) -> DataFrame:
-    """Values of each group, in pages.
+    """Values of each group, in pages of about ``page_rows`` values.
 
-    A group may hold any share of the rows, so it does not become one array: the page number, taken from the
-    unique ``row_id``, bounds an array to ``page_rows`` values. The pages of a key together hold every value.
+    A group may hold any share of the rows, so it does not become one array. A group has as many pages as its own
+    count asks for, one if it is small; a hash of the unique ``row_id`` deals its rows to them. The pages of a key
+    together hold every value.
     """
-    paged = df.select(key.alias("k"), F.floor(row_id / page_rows).alias("page"), value.alias("v"))
+    rows = df.select(key.alias("k"), value.alias("v"), row_id.cast("string").alias("id"))
+    pages = rows.groupBy("k").agg(F.ceil(F.count("*") / page_rows).alias("pages"))
+    number = F.conv(F.substring(F.md5("id"), 1, 8), 16, 10).cast("bigint") % F.col("pages")
+    paged = attach(rows, pages, "k").select("k", F.when(F.col("pages") > 1, number).otherwise(0).alias("page"), "v")
     return paged.groupBy("k", "page").agg(F.sort_array(F.collect_list("v")).alias("items"))
 
 
@@ -79,8 +83,9 @@ def sort_last_char(df: DataFrame, column: str, ties: tuple[str, ...] = ()) -> Da
     return sorted_by(df, F.substring(column, -1, 1), ties=(column, *ties))
 
 
-def sort_by_key(pairs: DataFrame) -> DataFrame:
-    return sorted_by(pairs, F.col("k"), ties=("v",))
+def sort_by_key(pairs: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs by key, then value, then ``ties``: name the identity of a row there when pairs repeat often."""
+    return sorted_by(pairs, F.col("k"), ties=("v", *ties))
 
 
 def take(df: DataFrame, n: int, *order: str) -> DataFrame:

@@ -66,14 +66,22 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return writer.trigger(**trigger).start()
 
 
-def _concat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    pieces, rows = [], 0
-    for batch in batches:
-        pieces.append("".join(batch["value"]))
-        rows += len(batch)
-    yield pd.DataFrame({"n": [rows], "text": ["".join(pieces)]})
+def partition_concat(lines: DataFrame, piece_chars: int = 1 << 24) -> DataFrame:
+    """The lines of each partition in one string, or in several of about ``piece_chars`` characters, no line cut.
 
+    A partition without lines gives an empty string.
+    """
 
-def partition_concat(lines: DataFrame) -> DataFrame:
-    """All lines of each partition in one string; the split size of the input bounds it."""
-    return lines.select(F.coalesce("value", F.lit("")).alias("value")).mapInPandas(_concat, "n bigint, text string")
+    def concat(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces, rows, chars, whole = [], 0, 0, True
+        for batch in batches:
+            for text in batch["value"]:
+                pieces.append(text)
+                rows, chars = rows + 1, chars + len(text)
+                if chars >= piece_chars:
+                    yield pd.DataFrame({"n": [rows], "text": ["".join(pieces)]})
+                    pieces, rows, chars, whole = [], 0, 0, False
+        if rows or whole:
+            yield pd.DataFrame({"n": [rows], "text": ["".join(pieces)]})
+
+    return lines.select(F.coalesce("value", F.lit("")).alias("value")).mapInPandas(concat, "n bigint, text string")
