@@ -141,6 +141,20 @@ def test_simhash(both):
     assert sorted((r.doc_id or -1, r.fingerprint, r.component_id) for r in simhash.near_dedup(both).collect()) == want
 
 
+@pytest.mark.parametrize("plain_read", [True, False])
+def test_one_of_each_with_repeated_and_null_ids(spark, plain_read):
+    """A row goes by what it is, not by its id: ids that repeat with another text, near copies under one id or none."""
+    rng = random.Random(11)
+    a, b, c, d, e, f, g = (" ".join(rng.choices("abcdefghijklmnop", k=60)) for _ in range(7))
+    near = lambda t: t.replace(" ", "  ").upper()
+    rows = [(5, a, "goes"), (3, near(a), "a"), (5, b, "b"), (7, c, "c"), (7, near(c), "c"), (None, d, "d"), (None, near(d), "d"), (None, e, "goes"), (9, near(e), "e"), (None, f, "f"), (4, g, "g"), (4, g, "g")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, note string")
+    table = staged(spark, table, "repeated") if plain_read else table.repartition(3)
+    got = simhash.one_of_each(table)
+    assert got.columns == table.columns
+    assert Counter(r.note for r in got.collect()) == Counter("abcdefg")
+
+
 @pytest.mark.parametrize("crowded", [2000, 10])
 def test_crowded_points_lose_no_link(spark, crowded, monkeypatch):
     monkeypatch.setattr(simhash, "CROWDED", crowded)

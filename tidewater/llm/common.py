@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,28 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Columns that name a row: its file, by a 64-bit hash of the path, and its place there.
+ROW = ("_row_file", "_row_index")
+
+
+def with_row(df: DataFrame, label: str) -> DataFrame:
+    """The table with the columns ``ROW``, equal at every read; unlike ids they are never null and never repeat.
+
+    A plain read of Parquet files has them without a copy; any other table is written first.
+    """
+    spark = df.sparkSession
+    if df._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
+        try:
+            return _named_rows(df)
+        except AnalysisException:  # no files, or files that do not number their rows
+            pass
+    return _named_rows(staged(spark, df, label))
+
+
+def _named_rows(df: DataFrame) -> DataFrame:
+    return df.select("*", F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
+
+
 def text_of(name: str = "text") -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small_batches, staged, strings
+from tidewater.llm.common import ROW, small_batches, staged, strings, text_of, with_row
 from tidewater.llm.components import components
 from tidewater.operators.skew import hot_join
 
@@ -60,16 +60,16 @@ def fingerprint(hashes: list[int]) -> int:
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """``id, bits``: the 64-bit fingerprint of each text as a long."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, bits``: the 64-bit fingerprint of each text as a long; beside them the columns ``keep``, which are longs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             bits = [fingerprint(shingle_hashes(t.encode().translate(_LOWER), width)) for t in strings(batch["text"]).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(np.array(bits, np.uint64).view(np.int64))], ["id", "bits"])
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(np.array(bits, np.uint64).view(np.int64)), *[batch[c] for c in keep]], ["id", "bits", *keep])
 
-    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(work, "id long, bits long")
+    source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *keep)
+    return source.mapInArrow(work, ", ".join(f"{c} long" for c in ("id", "bits", *keep)))
 
 
 def table_entries(marks: DataFrame) -> DataFrame:
@@ -177,7 +177,22 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that name their component, with all columns; documents without id stay."""
-    groups = near_dedup(docs, id_col, text_col).filter(F.col(id_col) != F.col("component_id"))
-    gone = staged(docs.sparkSession, groups.select(F.col(id_col).alias("_gone")), "simhash-gone")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """One document of each component of ``near_dedup``, with all columns.
+
+    The smallest id stays, a null id last; of equal ids the smallest hash of the text. Rows are told apart by their
+    place in the table, so an id that repeats with another text, or is null, neither takes a row along nor spares one.
+    """
+    spark = docs.sparkSession
+    rows = with_row(docs, "simhash-rows")
+    hashed = rows.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
+    prints = staged(spark, fingerprints(hashed, id_col, text_col, keep=("_text_hash", *ROW)), "simhash-prints")
+    marks = staged(spark, prints.select("bits").distinct(), "simhash-marks")
+    edges = staged(spark, links(marks), "simhash-links")
+    named = staged(spark, components(edges, marks, "bits", "bits").withColumnRenamed("bits", "mark"), "simhash-named")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "_text_hash", *ROW)
+    grouped = staged(spark, hot_join(prints, named, {"bits": "mark"}).select("component", order.alias("order")), "simhash-grouped")
+    firsts = grouped.groupBy(F.col("component").alias("of")).agg(F.min("order").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = hot_join(grouped, firsts, {"component": "of"}).filter("order != first").select(*[F.col(f"order.{c}").alias(f"_gone{c}") for c in ROW])
+    gone = staged(spark, gone, "simhash-gone")
+    same = [F.col(c) == F.col(f"_gone{c}") for c in ROW]
+    return rows.join(gone, same, "left_anti").drop(*ROW)
