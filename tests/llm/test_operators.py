@@ -319,6 +319,30 @@ def test_mixed_documents(both):
     assert {i: n for i, n in count.items() if i not in repeated} == {i: r.taken for (i, _), r in rows.items() if r.taken and i not in repeated}
 
 
+def test_mixed_documents_with_repeated_and_null_ids(spark):
+    """Documents that share id and size have plans of their own, in one source or over several."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnop"
+    rows = [(rng.choice([None, None, 1, 2, n]), " ".join([f"t{n}", *rng.choices(letters, k=rng.choice([4, 4, 9]))]), rng.choice("aaaaab" if n % 2 else "cb")) for n in range(120)]
+    rows += [(8, "same words each time", "b"), (8, "same words each time", "b")]
+    table = staged(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "repeated")
+    taken = Counter()
+    for r in mixing.mix(table.withColumn("n", F.regexp_extract("text", "^t([0-9]+) ", 1).try_cast("long")), block=8, keep=("n",)).collect():
+        taken[r.n] += r.taken
+    source, size = {n: r[2] for n, r in enumerate(rows)}, {n: len(r[1].split()) for n, r in enumerate(rows)}
+    count = Counter()
+    for r in mixing.mixed_documents(table, block=8).collect():
+        if r.text.startswith("same") or not r.text.startswith("t"):
+            continue
+        n = int(r.text.split()[0][1:])
+        assert r.source == source[n]
+        count[n] += len(r.text.split())
+    cut = {n for n in taken if n is not None and taken[n] % size[n]}
+    assert len(cut) <= 8 and {n: k for n, k in count.items() if n not in cut} == {n: k for n, k in taken.items() if k and n is not None and n not in cut}
+    whole = mixing.mixed_documents(table, block=8).select(F.sum(F.size(F.split("text", " ")))).first()[0]
+    assert whole == sum(taken.values()) and 0 in [taken[n] for n in size] and max(taken[n] / size[n] for n in size if n < 120) > 1
+
+
 def test_byte_bpe(both):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
     public = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

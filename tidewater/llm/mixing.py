@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import BLANKS, staged, text_of
+from tidewater.llm.common import BLANKS, ROW, staged, text_of, with_row
 from tidewater.operators.skew import hot_join
 
 #: Weights of the sources in code point order, repeating.
@@ -94,13 +94,14 @@ def source_key(name: str):
     return F.when(F.col(name).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(name).cast("string")))
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = 64, shards: int = 64, seed: int = 7, slices: int = 4096) -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = 64, shards: int = 64, seed: int = 7, slices: int = 4096, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``id, size, source_size, target, taken``, and how: ``rounds, first_from, first_to, last_to``.
 
     Every document is taken ``rounds`` times, and once more its words ``first_from`` to ``first_to`` and 0 to
     ``last_to`` (empty where equal or 0). ``taken`` counts them all and is at most 3 times the size. Null texts have
     size 0 and take nothing; a null source is a source of its own, last in order; null ids take part like others. Rows
-    that repeat are separate documents. An empty table gives an empty result; other columns are ignored.
+    that repeat are separate documents; of equal ids and sizes the text's hash is the order. An empty table gives an
+    empty result; other columns are ignored but for those in ``keep``, which stand beside the result.
     """
     spark = df.sparkSession
     sized = staged(
@@ -109,6 +110,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
             F.col(id_col).cast("long").alias("id"),
             source_key(source_col).alias("mix_key"),
             F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
+            F.xxhash64(text_of(text_col)).alias("text_hash"),
+            *keep,
         ).withColumn("place", F.xxhash64(F.lit(seed), "id")).withColumn("slice", F.pmod("place", F.lit(slices))),
         "mix-sizes",
     )
@@ -121,7 +124,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     slice_sums = sized.groupBy("mix_key", "slice").agg(F.sum("size").alias("n"))
     before = Window.partitionBy("mix_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slice_sums.select(F.col("mix_key").alias("at_key"), F.col("slice").alias("at_slice"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("slice_start"))
-    within = Window.partitionBy("mix_key", "slice").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("mix_key", "slice").orderBy("place", "id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(offsets, (F.col("mix_key") == F.col("at_key")) & (F.col("slice") == F.col("at_slice")))
     placed = hot_join(placed.drop("at_key", "at_slice"), chosen, {"mix_key": "plan_key"})
@@ -139,19 +142,19 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         .withColumn("last_to", inside(end - F.col("source_size")))
         .withColumn("taken", F.col("rounds") * size + F.col("first_to") - F.col("first_from") + F.col("last_to"))
     )
-    return result.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "rounds", "first_from", "first_to", "last_to")
+    return result.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "rounds", "first_from", "first_to", "last_to", *keep)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixture as documents with the columns of ``docs``: whole copies, and the few cut documents at the ends of a quota.
 
     A cut document holds its taken words, joined by single blanks. Documents of which nothing is taken are left out, and
-    so are documents without words. Rows that repeat an id are one document if their sizes agree.
+    so are documents without words. Each row has its own plan, whatever other rows share its id.
     """
     spark = docs.sparkSession
-    taken = staged(spark, mix(docs, id_col, text_col, source_col, **options), "mix-taken").filter("taken > 0")
-    ways = taken.select(F.col(id_col).alias("_id"), F.col("size").alias("_size"), "rounds", "first_from", "first_to", "last_to")
-    ways = ways.groupBy("_id", "_size").agg(*[F.max(c).alias(c) for c in ("rounds", "first_from", "first_to", "last_to")])
+    rows = with_row(docs, "mix-rows")
+    taken = staged(spark, mix(rows, id_col, text_col, source_col, keep=ROW, **options), "mix-taken").filter("taken > 0")
+    ways = taken.select(*[F.col(c).alias(f"_of{c}") for c in ROW], F.col("size").alias("_size"), "rounds", "first_from", "first_to", "last_to")
     span = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
     zero = F.lit(0).cast("long")
     pieces = F.concat(
@@ -159,9 +162,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("first_to") > F.col("first_from"), F.array(span(F.col("first_from"), F.col("first_to")))).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")),
         F.when(F.col("last_to") > 0, F.array(span(zero, F.col("last_to")))).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")),
     )
-    ways = ways.withColumn("_pieces", pieces).select("_id", "_size", "_pieces")
-    words = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
-    out = docs.withColumn("_words", words).join(ways, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")))
+    ways = ways.withColumn("_pieces", pieces).select(*[f"_of{c}" for c in ROW], "_size", "_pieces")
+    out = rows.join(ways, [F.col(c) == F.col(f"_of{c}") for c in ROW])
     out = out.withColumn("_piece", F.explode("_pieces"))
     cut = F.array_join(F.slice(F.regexp_extract_all(text_of(text_col), F.lit(f"({WORD})"), 1), (F.col("_piece.a") + 1).cast("int"), (F.col("_piece.b") - F.col("_piece.a")).cast("int")), " ")
     whole = (F.col("_piece.a") == 0) & (F.col("_piece.b") == F.col("_size"))
