@@ -15,7 +15,10 @@ from tidewater.session import ship_package, use_utc
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier does not reject; it learns from the labels of this input."""
+    """Documents that the compression classifier does not reject; it learns from the labels of this input.
+
+    Without learnable labels of both kinds nothing is rejected.
+    """
     return quality.good_documents(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 

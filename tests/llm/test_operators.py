@@ -409,3 +409,15 @@ def test_pipeline(spark):
     assert count == taken and last.count() == mixed.count()
     whole = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, last.collect()))
+
+
+@pytest.mark.parametrize("labelled", ["quality is null", "quality = 0"])
+def test_pipeline_without_both_labels_rejects_nothing(spark, tmp_path, labelled):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.limit(40)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.filter(labelled).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.good_quality(spark, docs, str(tmp_path)).count() == docs.count() > 0
+    if labelled == "quality is null":
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0

@@ -120,7 +120,13 @@ def score(df: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col:
 
 
 def good_documents(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """The documents that are not rejected, with all their columns; nothing is shuffled."""
+    """The documents that are not rejected, with all their columns; nothing is shuffled.
+
+    A model that learned nothing, for lack of labels of both kinds, rejects nothing: its constant score tells no
+    document from another.
+    """
+    if not model.weights:
+        return docs
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text_col):
