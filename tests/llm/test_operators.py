@@ -212,6 +212,37 @@ def test_license_blocks_against_all_pairs(spark):
         assert got[i] == sorted(found)
 
 
+def test_license_blocks_from_every_word(spark):
+    """Notices broken up by other words, at all offsets: every run of 64 words that holds a template is found."""
+    rng = random.Random(6)
+    texts = []
+    for span in (42, 48, 56, 64, 66):
+        for offset in rng.sample(range(64), 24):
+            label, notice = rng.choice(licenses.TEMPLATES)
+            notice = notice.split()
+            for _ in range(max(0, span - len(notice))):
+                notice.insert(rng.randint(1, len(notice) - 1), "zz")
+            texts.append(" ".join(["zz"] * offset + notice + rng.choices(["zz", "the", "license"], k=rng.choice([0, 70]))))
+    df = spark.createDataFrame(pa.table({"doc_id": list(range(len(texts))), "text": texts}))
+    got = {r.doc_id: r for r in licenses.scan_licenses(df, phrases={}).collect()}
+    off_grid = 0
+    for i, text in enumerate(texts):
+        w, want = text.split(), {}
+        for label, t in licenses.TEMPLATES:
+            own = set(t.split())
+            for a in range(len(w)):
+                share = len(own & set(w[a : a + 64])) / len(own)
+                if share >= 0.9 - 1e-9:
+                    want[label, a] = share
+        runs = got[i].runs
+        assert {(x.label, a) for x in runs for a in range(x.first_start, x.last_start + 1)} == set(want)
+        assert sum(x.last_start - x.first_start + 1 for x in runs) == len(want)
+        assert all(x.containment == max(want[x.label, a] for a in range(x.first_start, x.last_start + 1)) for x in runs)
+        assert got[i].labels == ",".join(sorted({label for label, _ in want})) and got[i].score == max(want.values(), default=0.0)
+        off_grid += bool(want) and not got[i].blocks
+    assert off_grid
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(0, 0.2, (60, 6)).round(2).tolist()

@@ -1,11 +1,12 @@
 """License scans: fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-A text is cut into overlapping blocks of words, so that every run of half a block's words lies whole in a block. A
-template is contained in a block if the block has at least the threshold's share of the template's different words. The
-join orders words by their frequency in the whole corpus, rarest first. A template's prefix is so long that a block
-without any of its words cannot reach the threshold; blocks that share a prefix word are candidates if they have enough
-words (length filter) and if enough words can still follow in both orders (positional filter); what is left is counted
-exactly. Words that no template has cannot count and are left out of the blocks, which only sharpens the filters.
+A text block is any run of the block's number of words, from whichever word it begins. A template is contained in a
+block if the block has at least the threshold's share of the template's different words. Candidates are looked for in
+a grid of overlapping spans of twice the block's words, which hold every block whole. The join orders words by their
+frequency in the whole corpus, rarest first. A template's prefix is so long that a span without any of its words cannot
+reach the threshold; spans that share a prefix word are candidates if they have enough words (length filter) and if
+enough words can still follow in both orders (positional filter). A block then slides over the span, word by word, and
+is counted exactly. Words that no template has cannot count and are left out, which only sharpens the filters.
 
 Templates are parameters and few; they go to the tasks with the function. Rows stay where they are: no shuffle.
 """
@@ -153,16 +154,31 @@ def phrase_places(words: Words, phrases: dict[str, str]) -> list[tuple[str, int,
     return result
 
 
-def block_matches(words: Words, templates: Templates) -> Iterator[tuple[int, int, int, float]]:
-    """(row, first word of the block, template, containment) of every block that holds a template."""
+def sliding_counts(places: np.ndarray, ranks: np.ndarray, begin: int, window: int) -> np.ndarray:
+    """Different words in each of the ``window`` blocks that begin at ``begin`` and after it; words in order of place."""
+    order = np.lexsort((places, ranks))
+    at, of = places[order], ranks[order]
+    # a word counts by its first place in a block: from the one that ends with it, or leaves its last place out
+    before = np.where(np.concatenate(([False], of[1:] == of[:-1])), np.concatenate(([0], at[:-1])), -1)
+    first = np.clip(np.maximum(before + 1, at - window + 1) - begin, 0, window)
+    after = np.clip(at + 1 - begin, 0, window)
+    return np.cumsum(np.bincount(first, minlength=window + 1) - np.bincount(after, minlength=window + 1))[:window]
+
+
+def block_matches(words: Words, templates: Templates) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(row, first word, template, containments) where a template is held by any of the blocks that begin there and after.
+
+    There is one containment for each word that a block may begin with, 0 below the threshold; a block begins in one
+    item only per template.
+    """
     index = templates.prefix_index()
     ranks = np.asarray(pc.index_in(words.values, pa.array(templates.words, pa.large_string())).fill_null(-1))
     known = np.flatnonzero(ranks >= 0)
     if not len(known):
         return
-    row, place, rank, half = words.row[known], words.place[known], ranks[known], templates.block // 2
-    # every word lies in the block of its half and in the one before
-    key = np.concatenate([np.stack([row, place // half - back, rank], 1)[place // half >= back] for back in (0, 1)])
+    row, place, rank, window = words.row[known], words.place[known], ranks[known], templates.block // 2 * 2
+    # every word lies in the span of its block and in the one before
+    key = np.concatenate([np.stack([row, place // window - back, rank], 1)[place // window >= back] for back in (0, 1)])
     key = np.unique(key, axis=0)
     edges = np.flatnonzero((key[1:, :2] != key[:-1, :2]).any(1)) + 1
     starts, ends = np.concatenate(([0], edges)), np.concatenate((edges, [len(key)]))
@@ -170,14 +186,39 @@ def block_matches(words: Words, templates: Templates) -> Iterator[tuple[int, int
     prefix = np.zeros(len(templates.words), bool)
     prefix[list(index)] = True
     has_prefix = np.add.reduceat(prefix[key[:, 2]].astype(np.int64), starts) > 0
+    members = np.zeros((len(templates.sets), len(templates.words)), bool)
+    for t, one in enumerate(templates.sets):
+        members[t, list(one)] = True
+    row_starts = np.searchsorted(row, np.arange(len(words.counts) + 1))
     for a, b in zip(starts[has_prefix & (ends - starts >= least)].tolist(), ends[has_prefix & (ends - starts >= least)].tolist()):
-        for t, share in join_block(key[a:b, 2].tolist(), templates, index):
-            yield int(key[a, 0]), int(key[a, 1]) * half, t, share
+        for t, _ in join_block(key[a:b, 2].tolist(), templates, index):
+            r, begin = int(key[a, 0]), int(key[a, 1]) * window
+            low, high = row_starts[r] + np.searchsorted(place[row_starts[r] : row_starts[r + 1]], (begin, begin + 2 * window))
+            own = members[t][rank[low:high]]
+            counts = sliding_counts(place[low:high][own], rank[low:high][own], begin, window)
+            held = np.where(counts >= templates.needed[t], counts / len(templates.sets[t]), 0.0)
+            if held.any():
+                yield r, begin, t, held
+
+
+def runs_of(found: list[tuple[int, int, np.ndarray]], templates: Templates) -> list[dict]:
+    """Blocks of one text as runs: from which to which word a block may begin and hold the template, and its best share."""
+    result: list[dict] = []
+    for t, begin, held in sorted(found, key=lambda x: x[:2]):
+        inside = np.concatenate(([False], held > 0, [False]))
+        for a, b in np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2).tolist():
+            last, best = result[-1] if result else {}, float(held[a:b].max())
+            if a == 0 and last.get("template") == t and last["last_start"] == begin - 1:
+                last |= {"last_start": begin + b - 1, "containment": max(last["containment"], best)}
+            else:
+                result.append({"template": t, "first_start": begin + a, "last_start": begin + b - 1, "label": templates.labels[t], "containment": best})
+    return result
 
 
 SCHEMA = (
     "id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-    "blocks array<struct<first_word: long, label: string, containment: double>>"
+    "blocks array<struct<first_word: long, label: string, containment: double>>, "
+    "runs array<struct<first_start: long, last_start: long, label: string, containment: double>>"
 )
 
 
@@ -190,11 +231,13 @@ def scan_licenses(
     threshold: float = 0.9,
     block: int = 64,
 ) -> DataFrame:
-    """One row per input row: ``id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks``.
+    """One row per input row: ``id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks, runs``.
 
     ``n_base`` counts all places of the phrases, ``first_word`` and ``last_word`` are the smallest and largest start
-    (null without any), ``labels`` joins the phrases' labels and those of contained templates, ``blocks`` lists every
-    block that holds a template. ``score`` is 1 with a phrase, else the best containment, else 0. Null text counts as
+    (null without any), ``labels`` joins the phrases' labels and those of templates contained in any block, ``runs``
+    lists all these blocks, those that begin at neighbouring words as one run with its best containment, and ``blocks``
+    lists those of them that begin at a whole number of half blocks. ``score`` is 1 with a phrase, else the best
+    containment of all blocks, else 0. A block is at least twice the longest template. Null text counts as
     empty and has no words; a null id stays; rows that repeat give equal rows; an empty table gives an empty result;
     other columns are ignored.
     """
@@ -211,8 +254,14 @@ def scan_licenses(
                     places[r].append(p)
                     base[r].add(label)
             blocks: list[list[dict]] = [[] for _ in range(n)]
-            for r, first, t, share in block_matches(words, ready):
-                blocks[r].append({"first_word": first, "label": ready.labels[t], "containment": share})
+            found: list[list[tuple]] = [[] for _ in range(n)]
+            half = ready.block // 2
+            for r, begin, t, held in block_matches(words, ready):
+                found[r].append((t, begin, held))
+                for at in range(0, len(held), half):
+                    if held[at]:
+                        blocks[r].append({"first_word": begin + at, "label": ready.labels[t], "containment": float(held[at])})
+            runs = [runs_of(f, ready) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["id"],
@@ -221,11 +270,12 @@ def scan_licenses(
                     pa.array([min(p, default=None) for p in places], pa.int64()),
                     pa.array([max(p, default=None) for p in places], pa.int64()),
                     pa.array([",".join(sorted(b)) for b in base]),
-                    pa.array([",".join(sorted(b | {x["label"] for x in m})) for b, m in zip(base, blocks)]),
-                    pa.array([1.0 if b else max((x["containment"] for x in m), default=0.0) for b, m in zip(base, blocks)], pa.float64()),
+                    pa.array([",".join(sorted(b | {x["label"] for x in m})) for b, m in zip(base, runs)]),
+                    pa.array([1.0 if b else max((x["containment"] for x in m), default=0.0) for b, m in zip(base, runs)], pa.float64()),
                     pa.array(blocks, pa.list_(pa.struct([("first_word", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))),
+                    pa.array(runs, pa.list_(pa.struct([("first_start", pa.int64()), ("last_start", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))),
                 ],
-                ["id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"],
+                ["id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks", "runs"],
             )
 
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
