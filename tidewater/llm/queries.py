@@ -9,6 +9,7 @@ from tidewater.llm import quality, toxicity
 from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.dedup import exact_dedup
 from tidewater.llm.licenses import scan_licenses
+from tidewater.llm.merkle import document_manifest
 from tidewater.llm.mixing import mix
 from tidewater.llm.registry import query, table
 from tidewater.llm.simhash import near_dedup
@@ -112,3 +113,58 @@ def op4_exact_topk(spark, sf):
 )
 def op5_warc(spark, sf):
     return archive(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _merkle_sql(levels: int, upper_levels: int) -> str:
+    """Trees of at most 16^levels rows a source and 16^upper_levels sources, one table per level."""
+    part = lambda c: f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    leaf = lambda text: f"sha256({part('CAST(doc_id AS VARCHAR)')} || {part('source')} || {part('lang')} || {part('CAST(n_chars AS VARCHAR)')} || {part(text)})"
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    tables = [
+        f"""made AS (SELECT doc_id, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS g, {leaf("text")} AS leaf, {leaf(small)} AS low, text FROM documents)""",
+        """a0 AS (SELECT doc_id, g, leaf AS node, low, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM made)""",
+    ]
+
+    def climb(name: str, count: int) -> None:
+        for i in range(count):
+            run = "PARTITION BY g, pos // 16 ORDER BY pos"
+            near = lambda a, b: f"coalesce(string_agg(node, '') OVER ({run} ROWS BETWEEN {a} AND {b}), '')"
+            tables.append(f"{name}s{i} AS (SELECT *, CASE WHEN n > 1 THEN {near('UNBOUNDED PRECEDING', '1 PRECEDING')} END AS l, {near('1 FOLLOWING', 'UNBOUNDED FOLLOWING')} AS r FROM {name}{i})")
+            tables.append(f"{name}{i + 1} AS (SELECT g, pos // 16 AS pos, (any_value(n) + 15) // 16 AS n, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE any_value(node) END AS node FROM {name}{i} GROUP BY g, pos // 16)")
+
+    climb("a", levels)
+    tables.append(f"b0 AS (SELECT '' AS g, g AS name, node, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM a{levels})")
+    climb("b", upper_levels)
+    # every leaf with its siblings on all levels
+    joins, steps = [], []
+    for i in range(levels):
+        joins.append(f"JOIN as{i} t{i} ON t{i}.g = d.g AND t{i}.pos = d.pos // {16**i}")
+        steps.append(f"t{i}")
+    joins.append("JOIN bs0 u0 ON u0.name = d.g")
+    steps.append("u0")
+    for i in range(1, upper_levels):
+        joins.append(f"JOIN bs{i} u{i} ON u{i}.pos = u0.pos // {16**i}")
+        steps.append(f"u{i}")
+    proof = " || ".join(f"coalesce({s}.l || {s}.r, '')" for s in steps)
+    tables.append(
+        f"""f0 AS (SELECT d.doc_id, d.node AS leaf, u0.node AS subroot, sha256({proof}) AS proof_sha256,
+          CASE WHEN crc.tampered THEN d.low ELSE d.node END AS x, {", ".join(f"{s}.l AS l{i}, {s}.r AS r{i}" for i, s in enumerate(steps))}
+          FROM a0 d {" ".join(joins)} JOIN crc ON crc.doc_id IS NOT DISTINCT FROM d.doc_id)"""
+    )
+    for i in range(len(steps)):
+        tables.append(f"f{i + 1} AS (SELECT * REPLACE (CASE WHEN l{i} IS NULL THEN x ELSE sha256(l{i} || x || r{i}) END AS x) FROM f{i})")
+    # CRC-32 of the decimal id, bit by bit: the table-free form of the public polynomial
+    crc = f"""crc AS (SELECT doc_id, coalesce(xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+        lambda s, c: list_reduce(list_prepend(xor(s, c), [CAST(i AS BIGINT) FOR i IN range(8)]),
+          lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 5 = 0, false) AS tampered
+        FROM (SELECT DISTINCT doc_id FROM documents))"""
+    tables.insert(0, crc)
+    return f"""WITH {", ".join(tables)}
+      SELECT doc_id, leaf, subroot, b.node AS root, proof_sha256, x AS folded_root, x = b.node AS verified
+      FROM f{len(steps)}, (SELECT node FROM b{upper_levels}) b"""
+
+
+@query("op13_merkle", _merkle_sql(6, 4))
+def op13_merkle(spark, sf):
+    return document_manifest(table(spark, sf, "documents"))
