@@ -11,6 +11,7 @@ from tidewater.llm.dedup import exact_dedup
 from tidewater.llm.licenses import scan_licenses
 from tidewater.llm.merkle import document_manifest
 from tidewater.llm.mixing import mix
+from tidewater.llm.phrases import collocations
 from tidewater.llm.registry import query, table
 from tidewater.llm.simhash import near_dedup
 from tidewater.llm.token_files import token_files
@@ -168,3 +169,43 @@ def _merkle_sql(levels: int, upper_levels: int) -> str:
 @query("op13_merkle", _merkle_sql(6, 4))
 def op13_merkle(spark, sf):
     return document_manifest(table(spark, sf, "documents"))
+
+
+@query(
+    "op11_phrases",
+    r"""
+    WITH pieces AS (
+      SELECT row_number() OVER () AS id, lang, piece
+      FROM (SELECT coalesce(lang, 'und') AS lang,
+              unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)),
+    words AS (
+      SELECT id, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i
+      FROM (SELECT id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0),
+    beside AS (SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM words WINDOW p AS (PARTITION BY id ORDER BY i)),
+    counts AS MATERIALIZED (
+      SELECT lang, 1 AS m, w1 AS phrase, count(*) AS f FROM beside GROUP BY ALL
+      UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM beside WHERE w2 IS NOT NULL GROUP BY ALL
+      UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM beside WHERE w3 IS NOT NULL GROUP BY ALL),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang),
+    candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 10),
+    cuts AS (
+      SELECT c.lang, c.phrase, c.m, c.f AS a, k, x.f AS l, y.f AS r,
+             CAST((1000000 * CAST(c.f AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM candidates c, (SELECT unnest([1, 2]) AS k), counts x, counts y
+      WHERE k < c.m AND x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+        AND y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : c.m], ' ')),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+      SELECT lang, part, max(f) AS longer
+      FROM (SELECT lang, f, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS part FROM candidates WHERE m = 3)
+      GROUP BY lang, part),
+    kept AS (
+      SELECT p.* FROM lowest p LEFT JOIN inside i ON i.lang = p.lang AND i.part = p.phrase
+      WHERE i.longer IS NULL OR 100 * i.longer < 50 * p.a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11_phrases(spark, sf):
+    return collocations(table(spark, sf, "documents"))
