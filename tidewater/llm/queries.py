@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.llm import quality, toxicity
 from tidewater.llm.bpe import digests, encode_decode
 from tidewater.llm.dedup import exact_dedup
+from tidewater.llm.lempel import fingerprints
 from tidewater.llm.licenses import scan_licenses
 from tidewater.llm.merkle import document_manifest
 from tidewater.llm.mixing import mix
@@ -209,3 +210,8 @@ def op13_merkle(spark, sf):
 )
 def op11_phrases(spark, sf):
     return collocations(table(spark, sf, "documents"))
+
+
+@query("op12_lempel")
+def op12_lempel(spark, sf):
+    return fingerprints(table(spark, sf, "documents"))
