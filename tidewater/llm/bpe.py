@@ -1,10 +1,11 @@
 """Byte-level BPE by merge replay over the corpus of a batch.
 
-Texts are split by the pattern into words; every different word is worked on once. An inverted index leads from the
-rank of a token pair to the positions where the pair stands in the words. Merges are applied in rank order: the lowest
-rank in the index is taken, all its positions are merged, and only the pairs beside them are looked up again. A merge
-that makes a pair of lower rank sends the rest of its word back, so each word sees its merges in the order in which the
-public encoder applies them.
+Texts are split by the pattern into words; every different word is worked on once. The words' tokens stand in one array,
+and beside each position the rank of the pair that begins there. From it an inverted index is made in waves: it leads
+from a pair's rank to the positions where that pair is the next merge of its word. A wave merges all of them in rank
+order and looks up again only the pairs beside them. Words do not touch one another, so each sees its merges in the
+order in which the public encoder applies them, and a wave is a few array operations over all words at once. Words too
+long for waves are replayed by a heap of ranks over an index of their positions.
 
 Words already encoded are remembered by the Python worker up to a bound. A corpus is the batch and not the whole table:
 to share words between tasks, each occurrence would have to be shuffled to its word and back.
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import join_pieces, small_batches, strings
 
-#: Words, and token pairs, that a worker remembers at most.
-REMEMBERED, PAIRS = 250_000, 200_000
+#: Words that a worker remembers at most, and bytes of a word from which the heap is the faster way.
+REMEMBERED, LONG = 250_000, 1000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,8 +41,7 @@ class Replay:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
-        self.pair_ranks: dict[tuple[int, int], int] = {}
-        top = max(ranks.values()) + 1
+        self.top = top = max(ranks.values()) + 1
         lengths = np.zeros(top, np.int64)
         for rank, token in self.tokens.items():
             lengths[rank] = len(token)
@@ -49,37 +49,96 @@ class Replay:
         self.token_starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         self.token_bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(top)), np.uint8)
 
+        # every pair of tokens that makes a token, by one number; ``top`` stands for no merge
+        pairs = [(a * top + b, rank) for token, rank in ranks.items() for cut in range(1, len(token)) if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None]
+        pairs = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.pair_keys, self.pair_made = np.append(pairs[:, 0], top * top), np.append(pairs[:, 1], top)
+        ids = np.array(self.byte_ids, np.int64)
+        self.byte_table = ids
+        self.byte_pairs = self.made(np.repeat(ids, 256), np.tile(ids, 256)).reshape(256, 256)
+
+    def made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the tokens that pairs of tokens make, or ``top``."""
+        key = left * self.top + right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_made[at], self.top)
+
     def rank_of(self, left: int, right: int) -> int:
         """Rank of the token that two tokens make, or -1."""
-        known = self.pair_ranks.get((left, right))
-        if known is None:
-            known = self.pair_ranks[left, right] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
-        return known
-
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of every word."""
-        if len(self.pair_ranks) > PAIRS:
-            self.pair_ranks.clear()
+        return self.ranks.get(self.tokens[left] + self.tokens[right], -1)
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of every word, as 32-bit integers."""
+        found: list[bytes | None] = [None] * len(words)
+        short, long = [], []
+        for i, word in enumerate(words):
+            whole = self.ranks.get(word)
+            if whole is not None:
+                found[i] = whole.to_bytes(4, "little")
+            else:
+                (short if len(word) < LONG else long).append(i)
+        for some, replay in ((short, self.replay_in_waves), (long, self.replay_by_heap)):
+            for i, ids in zip(some, replay([words[i] for i in some])):
+                found[i] = ids
+        return found
+
+    def replay_in_waves(self, words: list[bytes]) -> list[bytes]:
+        """The words replayed together; each wave applies the next merge of every word."""
+        data = np.frombuffer(b"".join(words), np.uint8)
+        if not len(data):
+            return [b""] * len(words)
+        symbols = self.byte_table[data]
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+        rank = np.full(len(data), self.top)
+        rank[:-1] = np.where(owner[1:] == owner[:-1], self.byte_pairs[data[:-1], data[1:]], self.top)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(owner):
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            sizes = np.diff(np.append(starts, len(owner)))
+            lowest = np.minimum.reduceat(rank, starts)
+            if (lowest == self.top).any():
+                open_ = np.repeat(lowest < self.top, sizes)
+                done.append((owner[~open_], symbols[~open_]))
+                owner, symbols, rank = owner[open_], symbols[open_], rank[open_]
+                sizes, lowest = sizes[lowest < self.top], lowest[lowest < self.top]
+            places = np.flatnonzero(rank == np.repeat(lowest, sizes))
+            # of pairs that overlap, the first, third and so on are merged
+            number = np.arange(len(places))
+            chain = np.maximum.accumulate(np.where(np.diff(places, prepend=-2) != 1, number, 0))
+            places = places[(number - chain) % 2 == 0]
+            index = places[np.argsort(rank[places], kind="stable")]  # positions by rank
+            symbols[index] = rank[index]
+            stays = np.ones(len(owner), bool)
+            stays[index + 1] = False
+            at = index - (np.cumsum(~stays))[index]
+            owner, symbols, rank = owner[stays], symbols[stays], rank[stays]
+            touched = np.concatenate((at, at[at > 0] - 1))
+            beside = np.minimum(touched + 1, len(owner) - 1)
+            same = (owner[beside] == owner[touched]) & (beside > touched)
+            rank[touched] = np.where(same, self.made(symbols[touched], symbols[beside]), self.top)
+        owner, symbols = (np.concatenate(c) for c in zip(*done))
+        flat = symbols[np.argsort(owner, kind="stable")].astype("<i4").tobytes()
+        ends = np.cumsum(np.bincount(owner, minlength=len(words))) * 4
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def replay_by_heap(self, words: list[bytes]) -> list[bytes]:
+        """The words replayed rank by rank, for words in which one wave after the other would cost too much."""
         symbols: list[int] = []
         owner: list[int] = []
         spans = []
         for w, word in enumerate(words):
-            whole = self.ranks.get(word)
-            spans.append((len(symbols), len(symbols) + len(word), whole))
-            if whole is None:
-                symbols += [self.byte_ids[b] for b in word]
-                owner += [w] * len(word)
-            else:
-                spans[-1] = (len(symbols), len(symbols), whole)
+            spans.append((len(symbols), len(symbols) + len(word)))
+            symbols += [self.byte_ids[b] for b in word]
+            owner += [w] * len(word)
         n = len(symbols)
         after = list(range(1, n + 1))  # next position of the same word, or -1
         before = list(range(-1, n - 1))
-        for a, b, _ in spans:
+        for a, b in spans:
             if b > a:
                 before[a], after[b - 1] = -1, -1
         index: dict[int, list[int]] = {}
         rank_of = self.rank_of
-        for a, b, _ in spans:
+        for a, b in spans:
             for at in range(a, b - 1):
                 rank = rank_of(symbols[at], symbols[at + 1])
                 if rank >= 0:
@@ -124,7 +183,7 @@ class Replay:
                         index[found].append(left)
                         if found < rank:
                             sent_back = owner[at]
-        return [[whole] if whole is not None else [s for s in symbols[a:b] if s >= 0] for a, b, whole in spans]
+        return [np.array([s for s in symbols[a:b] if s >= 0], "<i4").tobytes() for a, b in spans]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         return join_pieces(self.token_bytes, self.token_starts[ids], self.token_lengths[ids])
@@ -148,8 +207,7 @@ def encode_batch(texts: Iterable[str], ranks_path: str, pattern: str) -> tuple[R
     if len(known) > REMEMBERED:
         known.clear()
     new = list({w for words in documents for w in words if w not in known})
-    for word, ids in zip(new, replay.encode_words([w.encode() for w in new])):
-        known[word] = np.array(ids, np.int32).tobytes()
+    known.update(zip(new, replay.encode_words([w.encode() for w in new])))
     parts = [b"".join([known[w] for w in words]) for words in documents]
     counts = np.array([len(p) // 4 for p in parts], np.int64)
     return replay, np.frombuffer(b"".join(parts), np.int32), counts
