@@ -52,12 +52,14 @@ def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, n
 
     The tokenizer drops white space before it merges, so no token crosses a blank and every different word is encoded
     once. To have fewer different words, letters become small first, as the tokenizer would make them, and a blank is
-    set where its pattern cuts anyway; texts that may hold the name of a special token are left as they are.
+    set where its pattern cuts anyway. Texts that may hold the name of a special token are left as they are, and so are
+    texts with a combining mark, which the tokenizer composes with the letter before it before letters become small.
     """
     tokenizer, known = _tokenizer(path)
     apart = pc.replace_substring_regex(pc.ascii_lower(texts), f"({LETTER})({MARK})", r"\1 \2")
     apart = pc.replace_substring_regex(apart, f"({MARK})({LETTER})", r"\1 \2")
-    split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, apart))
+    plain = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, r"\pM"))
+    split = pc.ascii_split_whitespace(pc.if_else(plain, texts, apart))
     words = split.flatten().dictionary_encode()
     different = words.dictionary.to_pylist()
     if len(known) > REMEMBERED:
