@@ -96,6 +96,25 @@ def test_token_files(spark, both):
     assert order == sorted(order)
 
 
+def test_token_ids_of_odd_texts():
+    """Capitals under combining marks, longer runs of marks, contractions and names of special tokens, as the library."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    rng = random.Random(3)
+    marks = [chr(c) for c in (*range(0x300, 0x370), 0x1AB0, 0x20D0, 0x3099, 0x0F71, 0x0F73, 0x0591)]
+    texts = [a + m for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZabiÀÉŁΩ" for m in marks]
+    texts += ["I\u0307" + m for m in marks] + ["J\u030c", "x <|endoftext|> Y\u030a", "I'LL don'T we'Re O'\u0301clock", "\u212a\u212b A\u0301", " \u0301A", "A!\u0338=\u0338<\u0338>\u0338"]
+    parts = [*marks, *"AEIOUTWJHYaeioutwjhy", "'S", "'LL", "'re", " ", "  ", "\n", "12", ".", "!", "=", "<|endoftext|>", "<|", "é", "İ", "ß", "日本", "가", "\u1100", "\u1161"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(60_000)]
+    texts += ["".join(rng.choices(parts[len(marks) :], k=rng.randint(1, 14))) for _ in range(40_000)]
+    for at in range(0, len(texts), 20_000):
+        part = texts[at : at + 20_000]
+        ids, counts = token_files.encode_texts(pa.array(part, pa.large_string()), path, 2)
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        for text, a, b, want in zip(part, ends, ends[1:], whole.encode_batch_fast(part, add_special_tokens=False)):
+            assert ids[a : b - 1].tolist() == want.ids, ascii(text)
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000, 700_000])
 def test_rans_round_trip(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.3, n) - 1, 4999).astype(np.uint32)
@@ -259,6 +278,29 @@ def test_top_k(spark):
     assert sorted((r.query_id, r["rank"], 1 << 60 if r.vec_id is None else r.vec_id, r.score) for r in got) == sorted(want)
 
 
+def test_top_k_of_large_vectors(spark):
+    """No vector is left out for its size, no score wraps, and one beyond 64 bits is an error."""
+    rng = random.Random(4)
+    for size, dims in ((1e7, 8), (8e6, 64), (3e9, 4)):
+        rows = [(i, [rng.uniform(-size, size) for _ in range(dims)]) for i in range(120)]
+        want = []
+        whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+        for q in range(0, 120, 50):
+            scored = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        run = lambda: topk.top_k(df, F.col("vec_id") % 50 == 0, block=40, query_block=2).collect()
+        if all(abs(s) < 2**63 for *_, s in want):
+            assert sorted(map(tuple, run())) == sorted(want)
+        else:
+            with pytest.raises(Exception, match="beyond 64 bits"):
+                run()
+    # scores beyond 64 bits that are not among the best do no harm
+    rows = [(0, [1e9, 0.0]), (1, [-1e18, 0.0]), *[(i, [float(i), 1.0]) for i in range(2, 9)]]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, block=3).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [8, 7, 6, 5, 4]
+
+
 def test_warc(spark):
     same, other = "x" * 1200, "é" * 600
     pages = [(1, "http://a/1", same), (2, None, same), (3, "http://a/ü\n", other), (4, "u", None), (5, "u", ""), (6, "u", "short"), (7, "u", "short"), (None, "u", same), (9, "u", same), (9, "u", same), (10, "u", other)]
