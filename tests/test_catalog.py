@@ -18,8 +18,12 @@ def test_agrees_with_sql(spark, con, name):
     assert differences(spark, con, SMALL, name) is None
 
 
+#: What SQL cannot say is held against plain loops elsewhere: the cheapest path of a lattice in test_segment.
+NO_SQL = {"segment_documents"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) - NO_SQL == set(SQL)
 
 
 def test_entry(spark):

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
-from tidewater.catalog.registry import query
+from tidewater.catalog.registry import SQL, query
 from tidewater.catalog.sqltext import LOG, text
+from tidewater.functions.segment import segmenter, word_costs
 from tidewater.functions.text import register_tokenizer
 from tidewater.operators import logs
 from tidewater.plans import warehouse
@@ -162,3 +163,28 @@ FROM words GROUP BY h, keyword
 )
 def keyword_window(spark, sf):
     return warehouse.keyword_summary(fx.app_log(spark, sf), "1 hour")
+
+
+@query("keyword_window_segmented", SQL["keyword_window"])
+def keyword_window_segmented(spark, sf):
+    """The search texts come without blanks; their words are found again by what part names teach."""
+    log = fx.app_log(spark, sf)
+    joined = log.withColumn("page", F.transform_values("page", lambda k, v: F.when(k == "item", F.replace(v, F.lit(" "), F.lit(""))).otherwise(v)))
+    model = word_costs(fx.table(spark, sf, "part"), F.col("p_name"))
+    return warehouse.keyword_summary(joined, "1 hour", segmenter(model))
+
+
+@query("segment_names", "SELECT p_partkey, string_split(p_name, ' ')[1] AS first_word, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n_words FROM part")
+def segment_names(spark, sf):
+    part = fx.table(spark, sf, "part")
+    words = segmenter(word_costs(part, F.col("p_name")))(F.replace("p_name", F.lit(" "), F.lit("")))
+    return part.select("p_partkey", words.alias("words")).select("p_partkey", F.get("words", 0).alias("first_word"), F.size("words").alias("n_words"))
+
+
+@query("segment_documents")
+def segment_documents(spark, sf):
+    """Every document without its blanks, cut into words by the frequencies of all documents."""
+    docs = fx.table(spark, sf, "documents")
+    words = segmenter(word_costs(docs, F.col("text")))(F.regexp_replace("text", r"\s+", ""))
+    found = docs.select("doc_id", words.alias("words"))
+    return found.select("doc_id", F.size("words").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("words_sha256"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import explode_tokens
+from tidewater.functions.text import explode_tokens, tokens
 from tidewater.functions.time import DATE, DATE_COMPACT, DATE_TIME, et_from_millis, et_from_seconds
 from tidewater.operators.visits import HOUR_MS, first_visits, session_starts
 
@@ -31,9 +32,9 @@ def _bounds(day: str) -> list[Column]:
     ]
 
 
-def keyword_window(terms: DataFrame, size: str = "5 seconds") -> DataFrame:
-    """Count of each search word per tumbling window."""
-    words = explode_tokens(terms, F.col("kw")).select("keyword", "et")
+def keyword_window(terms: DataFrame, size: str = "5 seconds", tokenizer: Callable[[Column], Column] = tokens) -> DataFrame:
+    """Count of each search word per tumbling window; ``tokenizer`` may be a segmenter for text without blanks."""
+    words = explode_tokens(terms, F.col("kw"), tokenizer=tokenizer).select("keyword", "et")
     counts = words.groupBy(F.window("et", size), "keyword").agg(F.count("*").alias("keyword_count"))
     return counts.select(*_bounds(DATE), "keyword", "keyword_count")
 

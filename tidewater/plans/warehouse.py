@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,6 +13,7 @@ from tidewater.operators.changes import config_snapshot, dim_etl, drop_bootstrap
 from tidewater.operators.logs import dead_letters, fields_of, pages, parse_records, routes, valid_records
 from tidewater.operators.routing import dim_route, dwd_route
 from tidewater.operators.visits import HOUR_MS, flat_visits, repair_new_flag
+from tidewater.functions.text import tokens
 from tidewater.functions.time import et_from_millis
 from tidewater.operators import windows
 from tidewater.operators.windows import keyword_window, search_terms, traffic_window
@@ -112,8 +113,8 @@ def log_line_stream(lines: DataFrame) -> DataFrame:
     return routes(fixed).unionByName(dirty)
 
 
-def keyword_summary(log: DataFrame, size: str = "5 seconds") -> DataFrame:
-    return keyword_window(search_terms(pages(log)), size)
+def keyword_summary(log: DataFrame, size: str = "5 seconds", tokenizer: Callable[[Column], Column] = tokens) -> DataFrame:
+    return keyword_window(search_terms(pages(log)), size, tokenizer)
 
 
 def keyword_stream(log: DataFrame, size: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
