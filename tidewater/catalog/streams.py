@@ -16,7 +16,7 @@ from tidewater.session import new_dir
 from tidewater.sinks.files import write_text
 from tidewater.sinks.keyed import CellTable
 from tidewater.sources.lines import read_lines
-from tidewater.streaming import joins, state
+from tidewater.streaming import changelog, joins, state
 from tidewater.streaming import windows as stream_windows
 from tidewater.streaming.run import run_complete, run_to_end, stream_table
 
@@ -110,6 +110,19 @@ def trade_order_detail_stream(spark, sf):
     return run_to_end(joins.trade_order_detail(*parts), "order-detail")
 
 
+@query("trade_order_detail_changelog", DETAIL_SQL)
+def trade_order_detail_changelog(spark, sf):
+    """The join that answers at once, its corrections folded."""
+    log = fx.change_log(spark, sf, *ORDER_TABLES)
+    parts = [
+        _staged(spark, "lines", facts.order_detail_rows(log, DB)),
+        _staged(spark, "orders", facts.order_rows(log, DB)),
+        _staged(spark, "activities", facts.activity_rows(log, DB)),
+        _staged(spark, "coupons", facts.coupon_rows(log, DB)),
+    ]
+    return changelog.fold(run_to_end(changelog.trade_order_detail(*parts), "order-detail-changes"))
+
+
 def _closed_log(spark, sf):
     """The application log as files to stream, with a last record far in the future to close all windows."""
     path = new_dir(spark, "app-log")
