@@ -9,12 +9,13 @@ from tidewater.catalog.registry import query
 from tidewater.catalog.sqltext import CHANGES, ID, seconds, text
 from tidewater.functions.values import keep_columns
 from tidewater.operators import changes
-from tidewater.operators.routing import dim_route
+from tidewater.operators.routing import dim_route, dim_route_at
 from tidewater.plans import warehouse
 from tidewater.sinks.files import write_by_target
 from tidewater.sinks.keyed import cell_rows
 from tidewater.session import new_dir
 from tidewater.sources import lines as src
+from tidewater.streaming.run import stream_table
 
 DB = fx.DATABASE
 
@@ -118,6 +119,45 @@ def dim_tables(spark, sf):
     return dim_columns(warehouse.dimension_rows(fx.change_log(spark, sf), fx.dim_config(spark), DB))
 
 
+ROUTE_AT_SQL = f"""
+WITH config AS (
+  SELECT n_nationkey AS n, 788918400 + n_nationkey * 90 * 86400 AS since FROM nation),
+moved AS (
+  SELECT {text('o_orderkey')} AS id, {text('o_custkey')} AS user_id, {text('c_nationkey')} AS province_id, kind, {seconds('o_orderdate')} + later AS ts
+  FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES ('insert', 0), ('update', 600)) v(kind, later))
+SELECT 'dim_order_' || n AS sink_table, id AS row_key, kind AS type, ts, user_id, CASE WHEN n % 2 = 1 THEN province_id END AS province_id
+FROM moved ASOF JOIN config ON ts >= since WHERE n % 7 <> 6
+"""
+
+
+def _order_rows(routed):
+    data = F.col("data")
+    return routed.select("sink_table", "row_key", "type", "ts", data["user_id"].alias("user_id"), data["province_id"].alias("province_id"))
+
+
+@query("dim_route_at", ROUTE_AT_SQL)
+def route_dims_at(spark, sf):
+    """Each change goes where the configuration of its own time sends it."""
+    log = changes.dim_etl(fx.change_log(spark, sf, "order_info"), DB)
+    return _order_rows(dim_route_at(log, fx.order_config_changes(spark, sf), "ts", 30 * 86_400))
+
+
+@query("dim_route_at_stream", ROUTE_AT_SQL)
+def route_dims_at_stream(spark, sf):
+    """Both logs as streams that advance a year or two at a time."""
+    log, config = fx.change_log(spark, sf, "order_info"), fx.order_config_changes(spark, sf)
+    paths = [new_dir(spark, "route-log"), new_dir(spark, "route-config")]
+    for year in (0, 1997, 1999, 2100):
+        for rows, path, at in ((log, paths[0], "ts"), (config, paths[1], "seq")):
+            years = F.year(F.timestamp_seconds(at))
+            until = {0: years < 1997, 1997: (years >= 1997) & (years < 1999), 1999: years >= 1999, 2100: F.lit(False)}[year]
+            rows.where(until).coalesce(1).write.parquet(f"{path}/{year:04d}")
+    streams = [stream_table(spark, p, r.schema, per_batch=1, recursiveFileLookup="true") for p, r in zip(paths, (log, config))]
+    out = new_dir(spark, "routed")
+    warehouse.dimension_stream_at(*streams, out, new_dir(spark, "route-checkpoint"), DB, "ts").awaitTermination()
+    return _order_rows(spark.read.parquet(out))
+
+
 SPLIT_SQL = f"""
 SELECT 'dwd_user_register' AS sink_table, {text('c_custkey')} AS id, c_name AS name, CAST(NULL AS VARCHAR) AS sku_id,
   CAST(t AS BIGINT) AS ts, {text('t')} AS data_ts

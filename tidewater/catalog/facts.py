@@ -103,6 +103,43 @@ def comment_info(spark, sf):
     return facts.comment_info(fx.change_log(spark, sf, "comment_info"), fx.dictionary(spark, sf), DB)
 
 
+def _versions(rows: str) -> str:
+    """Of versions that begin together, the last."""
+    return f"versions AS (SELECT * FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY code, since ORDER BY pos DESC) = 1)"
+
+
+@query(
+    "comment_info_as_of",
+    f"""
+WITH {_versions(f"""SELECT {text("k % 5 + 1")} AS code, event_type || '-' || k AS name, event_type = 'error' AS gone,
+    {seconds("date_trunc('second', ts)")} AS since, event_id AS pos
+  FROM (SELECT *, CAST(props ->> '$.k' AS INTEGER) AS k FROM events)""")},
+comments AS (SELECT *, {text('quality + 2 * toxic + 1')} AS code, 1704067200 + doc_id AS ts FROM documents JOIN labels USING (doc_id))
+SELECT {text('doc_id')} AS id, {text('doc_id % 150')} AS user_id, {text('doc_id % 200')} AS sku_id, c.code AS appraise,
+  v.name AS appraise_name, text AS comment_txt, ts
+FROM comments c ASOF JOIN versions v ON c.code = v.code AND c.ts >= v.since WHERE NOT v.gone
+""",
+)
+def comment_info_as_of(spark, sf):
+    return facts.comment_info_as_of(fx.change_log(spark, sf, "comment_info"), fx.grade_versions(spark, sf), DB)
+
+
+@query(
+    "payments_as_of",
+    f"""
+WITH {_versions(f"""SELECT substr(o_orderpriority, 1, 1) AS code, substr(o_orderpriority, 3) || '-' || (o_orderkey % 1000) AS name,
+    o_orderstatus = 'P' AS gone, {seconds('o_orderdate')} AS since, o_orderkey AS pos FROM orders""")},
+paid AS (
+  SELECT {text('o_orderkey')} AS order_id, substr(o_orderpriority, 1, 1) AS code, {seconds('o_orderdate')} + o_orderkey % 2400 AS ts
+  FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW')
+SELECT order_id, p.code, CASE WHEN NOT v.gone THEN v.name END AS name, ts
+FROM paid p ASOF LEFT JOIN versions v ON p.code = v.code AND p.ts >= v.since
+""",
+)
+def payments_as_of(spark, sf):
+    return facts.payments_as_of(fx.change_log(spark, sf, "payment_info"), fx.dictionary_versions(spark, sf), DB)
+
+
 @query(
     "cart_add",
     f"""

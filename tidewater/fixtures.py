@@ -343,6 +343,31 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def dictionary_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A changing code table: each order gives the code of its priority another name, or ends it where it is partial."""
+    order = spread(spark, sf, "orders", "o_orderkey")
+    name = F.concat(F.expr("substring(o_orderpriority, 3)"), F.lit("-"), _text(F.col("o_orderkey") % 1000))
+    return order.select(
+        F.substring("o_orderpriority", 1, 1).alias("dic_code"),
+        F.struct(name.alias("dic_name")).alias("info"),
+        F.when(F.col("o_orderstatus") == "P", "d").otherwise("u").alias("op"),
+        _seconds(F.col("o_orderdate")).alias("since"),
+        F.col("o_orderkey").cast("bigint").alias("pos"),
+    )
+
+
+def grade_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A code table of comment grades that events change while comments come in."""
+    event = events(spark, sf)
+    return event.select(
+        _text(F.col("k") % 5 + 1).alias("dic_code"),
+        F.struct(F.concat("event_type", F.lit("-"), _text(F.col("k"))).alias("dic_name")).alias("info"),
+        F.when(F.col("event_type") == "error", "d").otherwise("u").alias("op"),
+        F.unix_seconds("et").alias("since"),
+        F.col("event_id").cast("bigint").alias("pos"),
+    )
+
+
 def dim_config(spark: SparkSession) -> DataFrame:
     rows = [
         ("user_info", "dim_user_info", "id,name,segment", "info", "id"),
@@ -360,6 +385,20 @@ def split_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schemas.SPLIT_CONFIG)
 
 
+def order_config_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The configuration of one table as it changes: each nation sends orders elsewhere for a quarter, some to nowhere."""
+    key = F.col("n_nationkey").cast("bigint")
+    return table(spark, sf, "nation").select(
+        F.when(key % 7 == 6, "d").otherwise("u").alias("op"),
+        F.lit("order_info").alias("source_table"),
+        F.concat(F.lit("dim_order_"), _text(key)).alias("sink_table"),
+        F.when(key % 2 == 0, "id,user_id").otherwise("id,user_id,province_id").alias("sink_columns"),
+        F.lit("info").alias("sink_family"),
+        F.lit("id").alias("sink_row_key"),
+        (F.lit(788_918_400) + key * 90 * 86_400).alias("seq"),  # 1995-01-01 and every 90 days
+    )
+
+
 def config_change_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Configuration changes as JSON lines: each order changes the entry of its customer."""
     order = spread(spark, sf, "orders", "o_orderkey")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewater import schemas
 from tidewater.functions.time import date_id, et_from_seconds
 from tidewater.functions.values import product_text
+from tidewater.operators.asof import as_of
 from tidewater.operators.changes import changed_to, changed_to_strict, pick, rows_of
 from tidewater.operators.skew import hot_join
 
@@ -27,6 +28,12 @@ def lookup(facts: DataFrame, dictionary: DataFrame, code: str, name: str) -> Dat
     return facts.join(names, F.col(code) == F.col(f"{name}__code")).drop(f"{name}__code")
 
 
+def lookup_as_of(facts: DataFrame, versions: DataFrame, code: str, name: str, at: str = "ts", how: str = "inner", chunk: int = 86_400) -> DataFrame:
+    """Lookup of the name that a code had at the second ``at`` of the row, in ``schemas.DICTIONARY_VERSION`` rows."""
+    named = versions.select(F.col("dic_code").alias("code"), "since", "pos", "op", F.col("info.dic_name").alias(name))
+    return as_of(facts, named, code, F.col(at), [name], order=("pos",), gone=F.col("op") == "d", how=how, chunk=chunk)
+
+
 def order_detail_rows(log: DataFrame, database: str) -> DataFrame:
     rows = rows_of(log, "order_detail", "insert", database)
     return rows.select(
@@ -178,3 +185,15 @@ def comment_info(log: DataFrame, dictionary: DataFrame, database: str) -> DataFr
         rows_of(log, "comment_info", "insert", database), "id", "user_id", "sku_id", "appraise", "comment_txt"
     )
     return _shape(lookup(comments, dictionary, "appraise", "appraise_name"), schemas.COMMENT_INFO)
+
+
+def comment_info_as_of(log: DataFrame, versions: DataFrame, database: str) -> DataFrame:
+    """Comments with the name that their grade had when the comment was made."""
+    comments = pick(rows_of(log, "comment_info", "insert", database), "id", "user_id", "sku_id", "appraise", "comment_txt")
+    return _shape(lookup_as_of(comments, versions, "appraise", "appraise_name"), schemas.COMMENT_INFO)
+
+
+def payments_as_of(log: DataFrame, versions: DataFrame, database: str, how: str = "left") -> DataFrame:
+    """Successful payments with the name that their kind had at the time: ``order_id, code, name, ts``."""
+    paid = payment_rows(log, database).select(F.col("pi_order").alias("order_id"), F.col("payment_type_code").alias("code"), F.col("pi_ts").alias("ts"))
+    return lookup_as_of(paid, versions, "code", "name", how=how, chunk=7 * 86_400)

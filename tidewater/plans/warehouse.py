@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewater import schemas
 from tidewater.operators.changes import config_snapshot, dim_etl, drop_bootstrap
 from tidewater.operators.logs import dead_letters, fields_of, pages, parse_records, routes, valid_records
-from tidewater.operators.routing import dim_route, dwd_route
+from tidewater.operators.routing import ConfigHistory, dim_route, dim_route_at, dwd_route
 from tidewater.operators.visits import HOUR_MS, flat_visits, repair_new_flag
 from tidewater.functions.text import tokens
 from tidewater.functions.time import et_from_millis
@@ -54,6 +54,26 @@ def dimension_stream(
     return _start(log, write, checkpoint, interval)
 
 
+def dimension_stream_at(
+    log: DataFrame, config: DataFrame, path: str, checkpoint: str, database: str, at: str = "pos", interval: str | None = None
+) -> StreamingQuery:
+    """The dimension routing as one stream over both logs: a change goes where the configuration of its position sends it.
+
+    ``config`` streams configuration changes. Both logs advance together in a batch; a configuration change that arrives
+    after the changes of its position holds for those that follow. Routed rows of a batch overwrite their own folder.
+    """
+    spark = log.sparkSession
+    history = ConfigHistory(spark, f"{checkpoint}-config", ("source_table",))
+    both = log.select(F.struct(*log.columns).alias("change")).unionByName(config.select(F.struct(*config.columns).alias("entry")), allowMissingColumns=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        known = history.advance(batch.where("entry is not null").select("entry.*"), batch_id)
+        changes = dim_etl(batch.where("change is not null").select("change.*"), database)
+        dim_route_at(changes, known, at).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _start(both, write, checkpoint, interval)
+
+
 def split_changes(log: DataFrame, config: DataFrame, staging: str | None = None) -> DataFrame:
     """Changes routed to the fact table their table and type are configured for."""
     return dwd_route(drop_bootstrap(log), config, staging)

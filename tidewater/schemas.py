@@ -47,6 +47,11 @@ DICTIONARY = T.StructType(
     [T.StructField("dic_code", T.StringType()), T.StructField("info", T.StructType(_strings("dic_name")))]
 )
 
+#: A change of the code table: from the second ``since`` on, until the next one; ``op`` d ends the code.
+DICTIONARY_VERSION = T.StructType(
+    [*DICTIONARY.fields, T.StructField("op", T.StringType()), T.StructField("since", T.LongType()), T.StructField("pos", T.LongType())]
+)
+
 ORDER_DETAIL = T.StructType(
     _strings(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id",
