@@ -40,6 +40,9 @@ EXACT = "decimal(13,0)"
 #: Text bytes whose windows are counted together, and buckets that a task merges one after the other.
 GROUP, BUCKETS = 8 << 20, 4
 
+#: Parts of a language whose best phrases are found before those of the whole language.
+PARTS = 16
+
 #: The end of a piece among words: a byte that no UTF-8 text holds.
 _END = b"\xff"
 _LOWER = bytes.maketrans(bytes(range(65, 91)) + ENDS, bytes(range(97, 123)) + _END * len(ENDS))
@@ -229,8 +232,11 @@ def collocations(
 
     total = counts.filter("size = 0").select(F.col("lang").alias("of_lang"), F.col("f").alias("n"))  # one row per language
     found = hot_join(scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), total, {"lang": "of_lang"})
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("long"))
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    if best is not None:  # the best of each part of a language, so that few rows of it meet in one task
+        parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+        found = found.withColumn("in_part", F.row_number().over(parts)).filter(F.col("in_part") <= best).drop("in_part")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     if best is not None:
         ranked = ranked.filter(F.col("rank") <= best)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
