@@ -372,15 +372,64 @@ def test_mix(both):
     source = {r.doc_id: r.source for r in both.collect()}
     sizes = Counter(len(words(r.text)) for r in both.collect())
     assert Counter(r.size for r in rows) == sizes
-    taken, target = defaultdict(int), {}
-    for r in rows:
-        assert 0 <= r.taken <= 3 * r.size
-        if r.doc_id is not None:
-            taken[r.source_size] += r.taken
-            target[r.source_size] = r.target
     total = sum(k * n for k, n in sizes.items())
-    assert abs(sum(r.taken for r in rows) - total) <= 8 * 30
-    assert all(r.target <= 3 * r.source_size + 1e-9 for r in rows) and len(set(source.values())) > 3
+    assert abs(sum(r.taken for r in rows) - total) <= 8 * 30 and len(set(source.values())) > 3
+    taken, target, size = defaultdict(int), {}, defaultdict(int)
+    for r in mixing.mix(both.withColumn("of", mixing.source_key("source")), block=8, keep=("of",)).collect():
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.whole * r.size + sum(p.b - p.a for p in r.pieces)
+        taken[r.of] += r.taken
+        target[r.of] = r.target
+        size[r.of] += r.size
+    # the words of each source are near its target, which a plain loop gives
+    want = plain_targets(size)
+    assert target == pytest.approx(want)
+    assert all(abs(taken[s] - want[s]) <= 2 * 8 + 64 for s in size)
+
+
+def plain_targets(size):
+    """Share by weight; whoever passes 3 times its size stops there and the rest is shared among the others."""
+    names = sorted(size)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    fixed = {}
+    while True:
+        left = sum(size.values()) - sum(fixed.values())
+        open_ = [s for s in names if s not in fixed]
+        share = {s: left * weight[s] / sum(weight[t] for t in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * size[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: 3.0 * size[s] for s in over}
+
+
+def test_shards_hold_their_quotas(spark):
+    """Every shard takes its blocks of every source, from documents of its own part of the stream."""
+    rng = random.Random(5)
+    rows = [(n, " ".join(["w"] * rng.randint(1, 30)), rng.choice("aaab") if n % 9 else "c") for n in range(600)]
+    table = staged(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "sharded")
+    size = Counter()
+    for _, t, s in rows:
+        size[f"0{s}"] += len(t.split())
+    planned = {r["mix_key"]: r for r in mixing.plan(sorted(size.items()), 16, 8, 7)}
+    quotas = mixing.shard_quotas([planned[k]["target"] for k in sorted(size)], round(sum(size.values()) / 16), 8)
+    for i, k in enumerate(sorted(size)):
+        shards = planned[k]["shards"]
+        assert [s[2] for s in shards[:-1]] == [s[1] for s in shards[1:]] and shards[0][1] == 0 and shards[-1][2] == size[k]
+        for number, a, b, rounds, begin, rest in shards:
+            assert rounds * (b - a) + rest == min(quotas[number][i] * 16, 3 * (b - a)) and a <= begin < b
+    found = mixing.mix(table.withColumn("of", mixing.source_key("source")), block=16, shards=8, keep=("of",)).collect()
+    assert {r.shard for r in found} == set(range(8))
+    other = mixing.mix(table, block=16, shards=3).collect()
+    assert sorted((r.doc_id, r.taken) for r in found) != sorted((r.doc_id, r.taken) for r in other)
+
+
+def test_place_of_null_and_repeated_ids(spark):
+    """A third of the rows has no id and some are equal: each row has its place and the sums hold."""
+    rows = [(None if n % 3 else n, f"text number {n % 50} of many words", "a" if n % 4 else None) for n in range(300)]
+    table = staged(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "placeless")
+    found = mixing.mix(table, block=8).collect()
+    assert len(found) == 300 and all(0 <= r.taken <= 3 * r.size for r in found)
+    assert abs(sum(r.taken for r in found) - 300 * 6) <= 3 * 8 + 64
+    assert sorted(map(repr, found)) == sorted(map(repr, mixing.mix(table, block=8).collect()))
 
 
 def test_mixed_documents(both):
@@ -400,11 +449,11 @@ def test_mixed_documents_with_repeated_and_null_ids(spark):
     rows += [(8, "same words each time", "b"), (8, "same words each time", "b")]
     table = staged(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "repeated")
     taken = Counter()
-    for r in mixing.mix(table.withColumn("n", F.regexp_extract("text", "^t([0-9]+) ", 1).try_cast("long")), block=8, keep=("n",)).collect():
+    for r in mixing.mix(table.withColumn("n", F.regexp_extract("text", "^t([0-9]+) ", 1).try_cast("long")), block=8, shards=1, keep=("n",)).collect():
         taken[r.n] += r.taken
     source, size = {n: r[2] for n, r in enumerate(rows)}, {n: len(r[1].split()) for n, r in enumerate(rows)}
     count = Counter()
-    for r in mixing.mixed_documents(table, block=8).collect():
+    for r in mixing.mixed_documents(table, block=8, shards=1).collect():
         if r.text.startswith("same") or not r.text.startswith("t"):
             continue
         n = int(r.text.split()[0][1:])
@@ -412,10 +461,23 @@ def test_mixed_documents_with_repeated_and_null_ids(spark):
         count[n] += len(r.text.split())
     cut = {n for n in taken if n is not None and taken[n] % size[n]}
     assert len(cut) <= 8 and {n: k for n, k in count.items() if n not in cut} == {n: k for n, k in taken.items() if k and n is not None and n not in cut}
-    whole = mixing.mixed_documents(table, block=8).select(F.sum(F.size(F.split("text", " ")))).first()[0]
+    whole = mixing.mixed_documents(table, block=8, shards=1).select(F.sum(F.size(F.split("text", " ")))).first()[0]
     assert whole == sum(taken.values()) and 0 in [taken[n] for n in size] and max(taken[n] / size[n] for n in size if n < 120) > 1
 
 
+def test_mixed_documents_are_the_planned_pieces(spark):
+    """Many shards on short documents: what comes out of each row is its whole copies and its pieces, word by word."""
+    rng = random.Random(13)
+    rows = [(rng.choice([None, 1, n]), " ".join(f"{n}.{i}" for i in range(rng.choice([0, 1, 7, 40]))), rng.choice("aaab")) for n in range(200)]
+    table = staged(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "pieces")
+    want = Counter()
+    for r in mixing.mix(table.withColumn("words", F.split("text", " ")), block=8, shards=12, keep=("words",)).collect():
+        want.update({" ".join(r.words): r.whole} if r.taken else {})
+        want.update(" ".join(r.words[p.a : p.b]) for p in r.pieces)
+    got = Counter(r.text for r in mixing.mixed_documents(table, block=8, shards=12).collect())
+    assert got == +want and len(got) > 50
+
+
 def test_byte_bpe(both):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
     public = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -41,7 +41,7 @@ def op9_exact_dedup(spark, sf):
 
 @query("op7_mix_sources")
 def op7_mix_sources(spark, sf):
-    return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shard")
 
 
 @query("op8_byte_bpe")
