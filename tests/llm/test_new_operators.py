@@ -171,3 +171,32 @@ def test_likeness_estimates_the_jaccard_similarity():
             true = len(x & y) / len(x | y)
             assert abs(lempel.likeness(lempel.sketch(x, 512), lempel.sketch(y, 512), 512) - true) < 0.08
     assert lempel.likeness(lempel.sketch(set()), lempel.sketch(set())) == 1.0
+
+
+def test_the_directory_owns_the_rows(spark):
+    """Buckets are prefixes that hold at most their capacity, entries lie in their bucket's range, rows find them there."""
+    from tidewater.llm import dedup
+    from tidewater.session import new_dir
+
+    keys = staged(spark, spark.range(500).select(F.xxhash64("id").alias("key"), "id", F.col("id").alias("row"), F.lit(3).alias("chars")), "owned")
+    index, depths = dedup.build_index(keys, new_dir(spark, "owned-index"), 10)
+    held = Counter(r.bucket for r in index.collect())
+    assert max(held.values()) <= 10 and len(held) > 50
+    depth = {r.cell: r.depth for r in depths.collect()}
+    for r in index.collect():
+        cell = (r.key & (2**64 - 1)) >> (64 - dedup.DEPTH)
+        shift = dedup.DEPTH - depth[cell]
+        assert r.bucket == cell >> shift << shift
+    assert {(r.key, r.bucket) for r in dedup.owned(keys, depths).collect()} == {(r.key, r.bucket) for r in index.collect()}
+
+
+@pytest.mark.parametrize("bits", [7, 12, 26])
+def test_bitmap_keeps_every_shared_key(spark, monkeypatch, bits):
+    """However full the bitmap is, no shared key is lost."""
+    from tidewater.llm import dedup
+
+    monkeypatch.setattr(dedup, "MAP_BITS", bits)
+    rows = spark.range(3000).select(F.xxhash64("id").alias("key"), "id")
+    shared = rows.filter("id % 10 = 0")
+    met = {r.id for r in dedup.may_share(rows, shared).collect()}
+    assert met >= set(range(0, 3000, 10)) and (bits < 26 or len(met) < 330)

@@ -2,9 +2,13 @@
 
 A text is normalised and hashed to 64 bits. The index holds one entry per hash value, whatever the number of copies. A
 bucket is a prefix of the hash bits; a bucket with more entries than its capacity is split by one more bit, which
-doubles the directory where that is needed. Every bucket is a contiguous key range, so the owner of a range is a range
-partition, and the index lies on the shared folder sorted by it. Entries that meet in one hash value are chained: bytes
-are compared, and each different text becomes an entry of its own.
+doubles the directory where that is needed. Every bucket is a contiguous key range: the index lies on the shared folder
+sorted by it, and the directory, a short table, tells each row the bucket that owns its hash value. Rows go to the owner
+of their bucket and find their entry there. Entries that meet in one hash value are chained: bytes are compared, and
+each different text becomes an entry of its own.
+
+Bytes are compared only where a hash value has several rows. A bitmap of fixed size over the hash values, the same for
+any input, tells which texts may be such: only they are shuffled, once, and only one copy of a text from each task.
 
 All steps are DataFrame functions. A hot text meets a partial aggregation before every shuffle of its key, and the
 joins split hot keys at run time.
@@ -21,11 +25,12 @@ from tidewater.llm.common import BLANKS, staged, text_of
 from tidewater.operators.skew import hot_join
 from tidewater.session import new_dir
 
-#: Bits of the hash that the directory may use at most: 2^DEPTH cells bound its size.
+#: Bits of the hash that the directory may use at most: 2^DEPTH cells bound its size. A bucket at that depth keeps all
+#: its entries, however many there are.
 DEPTH = 16
 
-#: Hash values that are broadcast at most, 8 bytes each; more of them meet the texts in a shuffle.
-BROADCAST_KEYS = 2_000_000
+#: Bits of the hash that the bitmap of shared hash values uses: 2^20 words of 64 bits at most are broadcast.
+MAP_BITS = 26
 
 
 def normalised(text: Column) -> Column:
@@ -54,8 +59,14 @@ def directory(entries: DataFrame, capacity: int) -> DataFrame:
     return sized.filter(fits).select("depth", F.explode("in_bucket").alias("cell")).groupBy("cell").agg(F.min("depth").alias("depth"))
 
 
-def build_index(keys: DataFrame, path: str, capacity: int = 100_000) -> DataFrame:
-    """Write the index: one entry per hash value with its count and best row, bucket by bucket in key order."""
+def owned(rows: DataFrame, depths: DataFrame) -> DataFrame:
+    """Rows with the ``bucket`` that the directory gives their key; it has at most 2^DEPTH rows and is broadcast."""
+    cells = F.broadcast(depths.select(F.col("cell").alias("owner_cell"), F.expr(f"shiftleft(shiftright(cell, {DEPTH} - depth), {DEPTH} - depth)").alias("bucket")))
+    return rows.join(cells, F.shiftrightunsigned("key", 64 - DEPTH) == F.col("owner_cell")).drop("owner_cell")
+
+
+def build_index(keys: DataFrame, path: str, capacity: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """Write the index, one entry per hash value with its count and best row, in ranges of its buckets; and the directory."""
     spark = keys.sparkSession
     entries = staged(
         spark,
@@ -64,12 +75,22 @@ def build_index(keys: DataFrame, path: str, capacity: int = 100_000) -> DataFram
         .agg(F.count("*").alias("n"), F.max("best").alias("best"), F.max_by("row", "best").alias("row"), F.max_by("id", "best").alias("keep_id")),
         "dedup-entries",
     )
-    depths = directory(entries, capacity).withColumnRenamed("cell", "owner_cell")
-    cell = F.shiftrightunsigned("key", 64 - DEPTH)
-    owned = entries.join(depths, cell == F.col("owner_cell")).withColumn("bucket", F.expr(f"shiftleft(shiftright(owner_cell, {DEPTH} - depth), {DEPTH} - depth)"))
-    owned = owned.drop("owner_cell", "best")
-    owned.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key").write.parquet(path)
-    return spark.read.schema(owned.schema).parquet(path)
+    depths = staged(spark, directory(entries, capacity), "dedup-directory")
+    index = owned(entries, depths).drop("best")
+    index.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key").write.parquet(path)
+    return spark.read.schema(index.schema).parquet(path), depths
+
+
+def may_share(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows whose ``key`` may be in ``shared``; all that are, and a few others by chance.
+
+    The bitmap has one bit for each prefix of a key, in words of 64 bits, of which those with a bit set are broadcast.
+    """
+    word = F.shiftrightunsigned("key", 64 - MAP_BITS + 6)
+    bit = F.shiftrightunsigned("key", 64 - MAP_BITS).bitwiseAND(F.lit(63)).cast("int")
+    words = shared.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    met = rows.join(F.broadcast(words), word == F.col("word"))
+    return met.filter(F.call_function("shiftrightunsigned", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1).drop("word", "bits")
 
 
 def exact_dedup(
@@ -101,21 +122,17 @@ def exact_dedup(
         ),
         "dedup-keys",
     )
-    index = build_index(keys, new_dir(spark, "dedup-index"), capacity)
+    index, depths = build_index(keys, new_dir(spark, "dedup-index"), capacity)
 
     # bytes are compared where a hash value has more than one row
-    shared = index.filter("n > 1").select(F.col("key").alias("shared_key"))
-    texts = source.select("id", "text", "plain", hash_of(F.col("plain")).alias("key"))
-    if shared.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        shared = F.broadcast(shared)
-    compared = hot_join(texts.select("key", "plain"), shared, {"key": "shared_key"}, "left_semi")
-    compared = compared.groupBy("key").agg(F.min("plain").alias("a"), F.max("plain").alias("b"))
+    texts = source.select("plain", hash_of(F.col("plain")).alias("key"))
+    compared = may_share(texts, index.filter("n > 1")).groupBy("key").agg(F.min("plain").alias("a"), F.max("plain").alias("b"))
     chained = staged(spark, compared.filter("a != b").select(F.col("key").alias("chained_key")), "dedup-chained")
 
     # the plain case: one text per hash value
     one_text = index.join(chained, F.col("key") == F.col("chained_key"), "left_anti")
-    groups = one_text.select(F.col("key").alias("group_key"), "n", F.col("row").alias("keep_row"), "keep_id")
-    plain = hot_join(keys, groups, {"key": "group_key"})
+    groups = one_text.select(F.col("bucket").alias("group_bucket"), F.col("key").alias("group_key"), "n", F.col("row").alias("keep_row"), "keep_id")
+    plain = hot_join(owned(keys, depths), groups, {"bucket": "group_bucket", "key": "group_key"})
     columns = ["id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"), "text_hash"]
     plain = plain.select(*columns)
     if chained.isEmpty():
