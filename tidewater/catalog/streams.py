@@ -22,6 +22,7 @@ from tidewater.streaming.run import run_complete, run_to_end, stream_table
 
 DB = fx.DATABASE
 HOURLY = ("1 hour", "5 seconds")
+TIMER_MS = 1_705_276_800_000  # 2024-01-15, inside the time span of the events
 FAR = 4102444800  # seconds of 2100-01-01, past every row, to close the last windows
 
 
@@ -43,6 +44,32 @@ def uv_flag_stream(spark, sf):
     return run_to_end(state.daily_visitor_flag(_timed(_flat(spark, sf), F.col("ts") / 1000), et="et"), "uv-flag").select("seq", "mid", "uv")
 
 
+def _halves(spark, sf):
+    """Visits before the middle of the month as a table, those from then on as a stream."""
+    flat = visits.flat_visits(fx.app_log(spark, sf)).drop("day")
+    early = flat.where(F.col("ts") < TIMER_MS)
+    path = new_dir(spark, "late-visits")
+    flat.where(F.col("ts") >= TIMER_MS).write.parquet(path)
+    return early, stream_table(spark, path, flat.schema)
+
+
+@query("is_new_fix_resumed", NEW_FLAG_SQL)
+def is_new_fix_resumed(spark, sf):
+    """A stream that starts in the middle of the log, from a batch snapshot of what came before."""
+    early, late = _halves(spark, sf)
+    known = visits.first_days(early).select("mid", F.col("first").cast("string").alias("first"))
+    fixed = run_to_end(state.repair_new_flag(late, known), "resumed-flag").select("seq", "mid", "is_new")
+    return visits.repair_new_flag(fx.app_log(spark, sf).where(F.col("ts") < TIMER_MS)).select("seq", "common.mid", "common.is_new").unionByName(fixed)
+
+
+@query("uv_flag_resumed", UV_SQL)
+def uv_flag_resumed(spark, sf):
+    early, late = _halves(spark, sf)
+    flagged = run_to_end(state.daily_visitor_flag(late, known=visits.last_days(early)), "resumed-uv").select("seq", "mid", "uv")
+    day = F.to_date(F.timestamp_millis("ts"))
+    return visits.daily_visitor_flag(early.withColumn("day", day)).select("seq", "mid", "uv").unionByName(flagged)
+
+
 @query("sv_flag_stream", SV_SQL)
 def sv_flag_stream(spark, sf):
     return run_to_end(state.session_flag(_timed(_flat(spark, sf), F.col("ts") / 1000), et="et"), "sv-flag").select("seq", "sid", "sv")
@@ -53,9 +80,6 @@ def jump_alert_stream(spark, sf):
     return run_to_end(state.jump_alert(_timed(fx.readings(spark, sf, stream=True), "sec"), ttl=3600, et="et"), "alert")
 
 
-TIMER_MS = 1_705_276_800_000  # 2024-01-15, inside the time span of the events
-
-
 @query("timer_fire", f"SELECT DISTINCT 'u' || (user_id % 20) AS key, CAST({TIMER_MS} AS BIGINT) AS fired_at FROM events")
 def timer_fire(spark, sf):
     rows = fx.events(spark, sf, stream=True).withWatermark("et", "2 seconds")

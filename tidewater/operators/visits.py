@@ -36,19 +36,28 @@ def flat_visits(log: DataFrame) -> DataFrame:
     )
 
 
+def first_days(visits: DataFrame) -> DataFrame:
+    """``mid, first``: the day on which a device counts as new, fixed by its first record."""
+    day = F.to_date(et_from_millis(F.col("ts")))
+    found = visits.groupBy("mid").agg(F.min_by(F.struct(day.alias("day"), "is_new"), F.struct("ts", "seq")).alias("f"))
+    return found.select("mid", F.when(F.col("f.is_new") == "1", F.col("f.day")).otherwise(F.date_sub("f.day", 1)).alias("first"))
+
+
+def last_days(visits: DataFrame) -> DataFrame:
+    """``mid, day``: the day of the last visit of a device, as text."""
+    found = visits.groupBy("mid").agg(F.max_by("ts", F.struct("ts", "seq")).alias("ts"))
+    return found.select("mid", F.date_format(et_from_millis(F.col("ts")), "yyyy-MM-dd").alias("day"))
+
+
 def repair_new_flag(log: DataFrame) -> DataFrame:
     """Correct ``common.is_new``: a device counts as new on the day of its first visit only.
 
     The first record of a device fixes that day: its own day when it says new, else the day before.
     """
-    device, day = F.col("common.mid"), F.to_date(et_from_millis(F.col("ts")))
-    rows = log.withColumn("_mid", device)
-    first = (
-        rows.groupBy("_mid")
-        .agg(F.min_by(F.struct(day.alias("day"), F.col("common.is_new").alias("is_new")), F.struct("ts", "seq")).alias("f"))
-        .select("_mid", F.when(F.col("f.is_new") == "1", F.col("f.day")).otherwise(F.date_sub("f.day", 1)).alias("_first"))
-    )
-    joined = attach(rows, first, "_mid")
+    day = F.to_date(et_from_millis(F.col("ts")))
+    rows = log.withColumn("_mid", F.col("common.mid"))
+    first = first_days(rows.select(F.col("_mid").alias("mid"), F.col("common.is_new").alias("is_new"), "ts", "seq"))
+    joined = attach(rows, first.select(F.col("mid").alias("_mid"), F.col("first").alias("_first")), "_mid")
     wrong = (F.col("common.is_new") == "1") & (day != F.col("_first"))
     fixed = F.when(wrong, "0").otherwise(F.col("common.is_new"))
     return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*log.columns)

@@ -7,6 +7,8 @@ micro-batch by their time and sequence, so the amount admitted per trigger (``ma
 Alerts, daily flags and session flags forget. Given ``et``, the watermarked time column, a timer clears the state of
 a key when the watermark has passed the moment after which it can matter to no further row; without ``et`` a query
 has no watermark and keeps its state.
+
+A query may start from a batch snapshot of the rows before it (``known``), so that no history is read as a stream.
 """
 
 from __future__ import annotations
@@ -37,11 +39,17 @@ class Forgetful(StatefulProcessor):
     """A processor whose key forgets its only value ``kept`` when the timer of its last update fires."""
 
     timed = False
+    fields: T.StructType
 
     def lasts_until(self) -> int:
         """Milliseconds until which the value matters."""
         raise NotImplementedError
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """The value of a key before the stream begins; the columns beside the key are the value's fields."""
+        for _, row in initialState.iterrows():
+            self.remember(tuple(v.item() if isinstance(v, np.generic) else v for v in row.iloc[-len(self.fields) :]))
+
     def remember(self, value: tuple) -> None:
         self.kept.update(value)
         if self.timed:
@@ -57,6 +65,8 @@ class Forgetful(StatefulProcessor):
 class JumpAlert(Forgetful):
     """Alert when a reading is more than ``threshold`` away from the last one, unless that is ``ttl`` seconds old."""
 
+    fields = LAST
+
     def __init__(self, ttl: int, threshold: int, timed: bool = False):
         self.ttl, self.threshold, self.timed = ttl, threshold, timed
 
@@ -91,6 +101,9 @@ class NewFlagRepair(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.first = handle.getValueState("first", DAY)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.first.update((initialState["first"].iloc[0],))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.first.exists():
             first = self.first.get()[0]
@@ -112,6 +125,8 @@ class NewFlagRepair(StatefulProcessor):
 class DailyVisitor(Forgetful):
     """``uv`` is 1 when the day differs from that of the previous visit of the device; it matters until that day is over."""
 
+    fields = DAY
+
     def __init__(self, timed: bool = False):
         self.timed = timed
 
@@ -136,6 +151,8 @@ class DailyVisitor(Forgetful):
 class SessionStart(Forgetful):
     """``sv`` is 1 when no visit opened a session of this ``sid`` within the last ``ttl_ms``."""
 
+    fields = MOMENT
+
     def __init__(self, ttl_ms: int, timed: bool = False):
         self.ttl_ms, self.timed = ttl_ms, timed
 
@@ -192,27 +209,44 @@ def jump_alert(readings: DataFrame, ttl: int = 10, threshold: int = 10, et: str
     )
 
 
-def repair_new_flag(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("mid").transformWithStateInPandas(NewFlagRepair(), visits.schema, "Append", "None")
+def _known(snapshot: DataFrame | None, *columns: str):
+    """The state before the stream, one row per key, as the operator takes it."""
+    return None if snapshot is None else snapshot.select(*columns).groupBy(columns[0])
+
+
+def repair_new_flag(visits: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``known`` holds ``mid, first``: the first days of devices seen before the stream, as ``visits.first_days`` gives them.
+
+    It is read once, when the query first starts; a restart finds it in the checkpoint.
+    """
+    return visits.groupBy("mid").transformWithStateInPandas(
+        NewFlagRepair(), visits.schema, "Append", "None", initialState=_known(known, "mid", "first")
+    )
 
 
 def _flagged(df: DataFrame, flag: str) -> T.StructType:
     return T.StructType(df.schema.fields + [T.StructField(flag, T.IntegerType())])
 
 
-def _run(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType, et: str | None) -> DataFrame:
+def _run(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType, et: str | None, known=None) -> DataFrame:
     mode = {"timeMode": "EventTime", "eventTimeColumnName": et} if et else {"timeMode": "None"}
-    return df.groupBy(key).transformWithStateInPandas(processor, schema, "Append", **mode)
+    return df.groupBy(key).transformWithStateInPandas(processor, schema, "Append", **mode, initialState=known)
 
 
-def daily_visitor_flag(visits: DataFrame, et: str | None = None) -> DataFrame:
-    """``et`` names the watermarked time column, by which past days are forgotten and a windowed summary may follow."""
-    return _run(visits, "mid", DailyVisitor(bool(et)), _flagged(visits, "uv"), et)
+def daily_visitor_flag(visits: DataFrame, et: str | None = None, known: DataFrame | None = None) -> DataFrame:
+    """``et`` names the watermarked time column, by which past days are forgotten and a windowed summary may follow.
 
+    ``known`` holds ``mid, day`` as text: the last day of devices seen before the stream.
+    """
+    return _run(visits, "mid", DailyVisitor(bool(et)), _flagged(visits, "uv"), et, _known(known, "mid", "day"))
 
-def session_flag(visits: DataFrame, ttl_ms: int = 3_600_000, et: str | None = None) -> DataFrame:
-    """``et`` names the watermarked time column, by which old sessions are forgotten and a summary may follow."""
-    return _run(visits, "sid", SessionStart(ttl_ms, bool(et)), _flagged(visits, "sv"), et)
+
+def session_flag(visits: DataFrame, ttl_ms: int = 3_600_000, et: str | None = None, known: DataFrame | None = None) -> DataFrame:
+    """``et`` names the watermarked time column, by which old sessions are forgotten and a summary may follow.
+
+    ``known`` holds ``sid, at``: the millisecond at which the last session of an id opened before the stream.
+    """
+    return _run(visits, "sid", SessionStart(ttl_ms, bool(et)), _flagged(visits, "sv"), et, _known(known, "sid", "at"))
 
 
 def timer_fire(pairs: DataFrame, at_ms: int = 5000) -> DataFrame:
