@@ -9,6 +9,7 @@ from tidewater import schemas
 from tidewater.catalog.registry import query
 from tidewater.catalog.sqltext import K, when
 from tidewater.functions import time as t
+from tidewater.functions.aggregates import Average, ValueCounts, aggregate
 from tidewater.functions.values import average, register_prefix
 from tidewater.operators import basics
 from tidewater.sources.files import in_partitions
@@ -257,3 +258,23 @@ def date_compare(spark, sf):
         t.compare_dates(day("l_shipdate"), day("o_orderdate")).alias("later"),
         t.date_to_ms(day("l_shipdate")).alias("ship_ms"),
     )
+
+
+@query("user_average", f"SELECT event_type, avg({K}) AS mean FROM events GROUP BY event_type")
+def user_average(spark, sf):
+    """A user's own average: reduced per task, merged after the shuffle."""
+    return aggregate(fx.events(spark, sf), ["event_type"], "k", Average(), "mean")
+
+
+@query(
+    "user_top_values",
+    f"""
+WITH counted AS (SELECT event_type, {K} AS value, count(*) AS n FROM events GROUP BY ALL)
+SELECT event_type, CAST(value AS BIGINT) AS value, n FROM counted
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY n DESC, value) <= 3
+""",
+)
+def user_top_values(spark, sf):
+    """An accumulator of counts, merged and cut to its top values."""
+    found = aggregate(fx.events(spark, sf), ["event_type"], "k", ValueCounts(3), "top")
+    return found.select("event_type", F.inline("top").alias("value", "n"))
