@@ -11,6 +11,7 @@ from tidewater.functions.values import keep_columns
 from tidewater.operators import changes
 from tidewater.operators.routing import dim_route, dim_route_at
 from tidewater.plans import warehouse
+from tidewater.sinks.epochs import read_epochs, write_epochs
 from tidewater.sinks.files import write_by_target
 from tidewater.sinks.keyed import cell_rows
 from tidewater.session import new_dir
@@ -188,6 +189,18 @@ def sink_dynamic(spark, sf):
     return _split(spark.read.parquet(path))
 
 
+@query("sink_dynamic_epochs", SPLIT_SQL)
+def sink_dynamic_epochs(spark, sf):
+    """The split rows as a stream into one target per table, epoch by epoch, and read back by their labels."""
+    staged, path = new_dir(spark, "split-rows"), new_dir(spark, "epochs")
+    split = warehouse.split_changes(fx.change_log(spark, sf), fx.split_config(spark))
+    split.select(F.col("sink_table").alias("target"), F.to_json(F.struct("data", "ts")).alias("value")).write.parquet(staged)
+    rows = stream_table(spark, staged, "target string, value string", per_batch=4)
+    write_epochs(rows, path, new_dir(spark, "epochs-checkpoint"), part_bytes=100_000).awaitTermination()
+    row = F.from_json("value", "data map<string,string>, ts bigint").alias("row")
+    return _split(read_epochs(spark, path).select(F.col("target").alias("sink_table"), row).select("sink_table", "row.*"))
+
+
 CONFIG = """
 config AS (
   SELECT CASE o_orderstatus WHEN 'F' THEN 'u' WHEN 'O' THEN 'c' ELSE 'd' END AS op, 't' || o_custkey AS source_table,

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
 from tidewater import schemas
-from tidewater.catalog.registry import query
+from tidewater.catalog.registry import SQL, query
 from tidewater.catalog.sqltext import K, STATUS, seconds, text
 from tidewater.session import new_dir
 from tidewater.sinks import files as out
 from tidewater.sinks.keyed import KeyedTable
 from tidewater.sources import files
 from tidewater.sources import lines as src
+from tidewater.sources.linelog import read_line_log
 from tidewater.streaming.run import run_to_end, stream_table
 
 USERS_SQL = "SELECT c_custkey AS age, c_name AS name FROM customer"
@@ -37,7 +38,10 @@ WHERE o_orderkey % 97 <> 0
 def src_change_log(spark, sf):
     path = new_dir(spark, "change-log")
     out.write_text(fx.order_log_lines(spark, sf), path)
-    log = src.change_log(src.read_lines(spark, "text", path=path))
+    return _order_changes(src.change_log(src.read_lines(spark, "text", path=path)))
+
+
+def _order_changes(log):
     data = F.col("data")
     return log.select(
         F.col("table").alias("tbl"),
@@ -49,6 +53,23 @@ def src_change_log(spark, sf):
     )
 
 
+@query("src_line_log", SQL["src_change_log"])
+def src_line_log(spark, sf):
+    """The change log from a source that gives every line its position."""
+    path = new_dir(spark, "line-log")
+    out.write_text(fx.order_log_lines(spark, sf), path)
+    log = src.change_log(read_line_log(spark, path, splitBytes="200000"))
+    return _order_changes(log.where(F.col("pos") >= 0))
+
+
+@query("src_line_log_stream", SQL["src_change_log"])
+def src_line_log_stream(spark, sf):
+    path = new_dir(spark, "line-log")
+    out.write_text(fx.order_log_lines(spark, sf), path)
+    lines = read_line_log(spark, path, stream=True, progress=new_dir(spark, "line-log-progress"))
+    return _order_changes(src.change_log(run_to_end(lines, "line-log-rows")))
+
+
 @query("src_raw_log", f"SELECT user_id || ',' || event_type || ',' || {K} AS value FROM events")
 def src_raw_log(spark, sf):
     path = new_dir(spark, "raw-log")
