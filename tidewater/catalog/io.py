@@ -14,6 +14,7 @@ from tidewater.sinks.keyed import KeyedTable
 from tidewater.sources import files
 from tidewater.sources import lines as src
 from tidewater.sources.linelog import read_line_log
+from tidewater.sources.wholefiles import read_packed_files, write_whole_files
 from tidewater.streaming.run import run_to_end, stream_table
 
 USERS_SQL = "SELECT c_custkey AS age, c_name AS name FROM customer"
@@ -135,6 +136,25 @@ def src_whole_file(spark, sf):
     return whole.groupBy(nation.alias("nation")).agg(F.sum(F.octet_length("content")).cast("bigint").alias("n_bytes"))
 
 
+@query(
+    "src_packed_files",
+    """
+SELECT CAST(n_nationkey AS INTEGER) AS nation, CAST(coalesce(sum(length(c_name) + 1), 0) AS BIGINT) AS n_bytes
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 9500 GROUP BY 1
+""",
+)
+def src_packed_files(spark, sf):
+    """A file per nation, empty where it has no rich customer, written whole and read in packs."""
+    path = new_dir(spark, "packed")
+    rich = fx.table(spark, sf, "customer").where("c_acctbal > 9500")
+    names = fx.table(spark, sf, "nation").join(rich, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    text = F.array_join(F.collect_list(F.concat("c_name", F.lit("\n"))), "")
+    write_whole_files(names.groupBy(F.concat(F.lit("nation-"), "n_nationkey").alias("path")).agg(text.alias("content")), path)
+    whole = read_packed_files(spark, path, 1 << 21)
+    nation = F.regexp_extract("path", r"nation-(\d+)", 1).cast("int")
+    return whole.select(nation.alias("nation"), F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
 @query("sink_csv_gzip", USERS_TEXT_SQL)
 def sink_csv_gzip(spark, sf):
     path = new_dir(spark, "csv-gzip")
