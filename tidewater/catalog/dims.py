@@ -11,6 +11,7 @@ from tidewater.functions.values import keep_columns
 from tidewater.operators import changes
 from tidewater.operators.routing import dim_route, dim_route_at
 from tidewater.plans import warehouse
+from tidewater.sinks.changes import read_changes, write_changes
 from tidewater.sinks.epochs import read_epochs, write_epochs
 from tidewater.sinks.files import write_by_target
 from tidewater.sinks.keyed import cell_rows
@@ -182,6 +183,14 @@ def dwd_route(spark, sf):
     return _split(warehouse.split_changes(fx.change_log(spark, sf), fx.split_config(spark)))
 
 
+@query("dwd_route_stored", SPLIT_SQL)
+def dwd_route_stored(spark, sf):
+    """The log lies in folders by table and kind; the configuration decides at run time which of them are read."""
+    path = new_dir(spark, "changes")
+    write_changes(fx.change_log(spark, sf), path)
+    return _split(warehouse.split_changes(read_changes(spark, path), fx.split_config(spark)))
+
+
 @query("sink_dynamic", SPLIT_SQL)
 def sink_dynamic(spark, sf):
     path = new_dir(spark, "split")
