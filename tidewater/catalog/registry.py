@@ -15,8 +15,8 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query over the test tables and, where SQL can say the same, its checking statement."""
+def registered(queries: dict[str, Query], statements: dict[str, str], name: str, sql: str | None) -> Callable[[Query], Query]:
+    """Register a query, which pins the zone and ships the package before it runs, and its checking statement."""
 
     def register(make: Query) -> Query:
         @wraps(make)
@@ -25,9 +25,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             ship_package(spark)
             return make(spark, sf)
 
-        QUERIES[name] = run
+        queries[name] = run
         if sql:
-            SQL[name] = sql.strip()
+            statements[name] = sql.strip()
         return run
 
     return register
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query over the test tables and, where SQL can say the same, its checking statement."""
+    return registered(QUERIES, SQL, name, sql)
