@@ -325,6 +325,121 @@ def test_warc_is_deterministic(spark, tmp_path):
     assert len(runs[0]) > 1
 
 
+def test_warc_shards_follow_from_the_pages_alone(spark, tmp_path):
+    """More rows than a range sort samples, cut and dealt otherwise in each run, a third of them without an id: same files."""
+    made = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), F.concat(F.lit("<p>"), F.xxhash64("id").cast("string"), F.repeat(F.lit("x"), (F.col("id") % 90).cast("int"))).alias("html")
+    )
+    runs = []
+    for parts in (3, 40):
+        df = staged(spark, made.repartition(parts, "url"), f"warc-{parts}")
+        found = warc.write_warc(df, f"{tmp_path}/{parts}", file_bytes=200_000, shard_bytes=800_000)
+        runs.append(sorted((r.shard, r.part, r.records, r.bytes, r.crc32) for r in found.collect()))
+    assert runs[0] == runs[1] and len({r[0] for r in runs[0]}) > 15
+    # the rows without an id are many shards
+    assert max(sum(r[2] for r in runs[0] if r[0] == n) for n in {r[0] for r in runs[0]}) < 3000
+
+
+def test_warc_of_equal_pages_without_ids(spark):
+    """One page, repeated without an id in most rows, fills several shards, and its mark reaches all of them."""
+    page = "<html>" + "same body " * 200
+    rows = [(None, "u", page)] * 300 + [(n, f"u{n}", page if n == 7 else f"<p>{n}") for n in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    pages = df.select("page_id", F.sha2("html", 256).alias("sha256"), F.octet_length("html").cast("long").alias("bytes"))
+    assert len(warc.shard_bounds(pages, 100_000)) > 5
+    got = warc.archive(df, shard_bytes=100_000).collect()
+    assert Counter((r.page_id, r.record_type, r.refers_to) for r in got if r.payload_bytes > 1000) == {(None, "revisit", 7): 300, (7, "response", None): 1}
+    assert len(got) == 360
+
+
+def test_one_text_per_labelled_id(spark):
+    """An id that repeats in most rows gives one text to a fit."""
+    from tidewater.llm.labelled import labelled_sample
+
+    docs = spark.createDataFrame([(4, f"text {n}") for n in range(200)] + [(n, f"other {n}") for n in range(5, 30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(30)], "doc_id long, quality int")
+    rows, _ = labelled_sample(docs, labels, "quality", 50, 1000)
+    assert sum(t.startswith("text") for t, _ in rows) == 1 and len(rows) > 10
+
+
+def test_calibrated_quality_against_a_plain_loop(spark):
+    """Features, weights and score of a text, step by step with the public library."""
+    import math
+
+    import zstandard
+
+    rng = random.Random(8)
+    rows = [(n, " ".join(rng.choices(["river", "stone", "light", "walks"] if n % 2 else ["buy", "now", "$$$", "win"], k=rng.randint(20, 60)))) for n in range(240)] + [(998, ""), (999, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(240)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    for r in quality.score(docs, model).collect():
+        assert r.score == pytest.approx(plain_quality(dict(rows)[r.doc_id] or "", model, math, zstandard), abs=1e-9)
+        assert r.predicted == int(r.score >= 0.7) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def plain_quality(text, model, math, zstandard):
+    data = text.encode()
+
+    def size(content):
+        options = {"level": 3, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        if content:
+            options["dict_data"] = zstandard.ZstdCompressionDict(content)
+            options["dict_data"].precompute_compress(level=3)
+        return len(zstandard.ZstdCompressor(**options).compress(data))
+
+    n, g, b, o = len(data), size(model.good), size(model.bad), size(None)
+    base = [(g - b) / (o + 1), (g - b) / (n + 16), o / (n + 16), math.log1p(n), min(g, b) / (n + 16)]
+    x = base + [v * v for v in base] + [base[0] * v for v in base[1:]] + [base[2] * base[3]]
+    z = model.weights[0]
+    for value, centre, spread, weight in zip(x, model.centre, model.spread, model.weights[1:]):
+        z += weight * min(8, max(-8, (value - centre) / spread))
+    return 1 / (1 + math.exp(-min(30, max(-30, z))))
+
+
+def test_ordinal_grades_against_a_plain_loop(spark):
+    """Shared weights, ordered thresholds: grade probabilities and severity of a text, one word at a time."""
+    import math
+
+    rng = random.Random(9)
+    calm, rude = ["river", "stone", "light", "walks", "gently"], ["blorf", "snark", "grumph"]
+    rows = [(n, " ".join(rng.choices(calm + (rude * (n % 4) if n % 2 else []), k=rng.randint(5, 50))), n % 2) for n in range(300)]
+    sample = [(t, y) for _, t, y in rows]
+    model = toxicity.fit(sample)
+    assert model.features and list(model.thresholds) == sorted(model.thresholds)
+    texts = [*[t for _, t, _ in rows[:60]], "", "BLORF blorfing snar snarks"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.grade(df, model).collect()}
+    for n, text in enumerate(texts):
+        p = plain_grades(text, model, math)
+        assert got[n].severity == pytest.approx(sum(k * q for k, q in enumerate(p)), abs=1e-9)
+        assert got[n].toxic_score == pytest.approx(1 - p[0], abs=1e-9) and sum(p) == pytest.approx(1)
+        assert p[got[n].grade] == pytest.approx(max(p))
+
+
+def plain_grades(text, model, math):
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+    counts = Counter(f for w in found for f in (w, "^" + w[:4], "^" + w[:5]) if f in model.features)
+    at = sum(model.weights[model.features[f]] * math.log1p(c * (1000 / (len(found) + 20))) for f, c in counts.items())
+    upto = [1 / (1 + math.exp(-min(40, max(-40, cut - at)))) for cut in model.thresholds]
+    return [b - a for a, b in zip([0, *upto], [*upto, 1])]
+
+
+def test_ties_between_grades():
+    """Thresholds that leave two grades equally likely: the lower one is named."""
+    model = toxicity.ToxicityModel({}, (), (0.0, 40.0, 41.0))
+    p = model.grades(["", "any words"])
+    assert p[0, 0] == p[0, 1] == 0.5 and p.argmax(1).tolist() == [0, 0]
+
+
+def test_long_html(spark):
+    """A payload of several megabytes is archived and read back whole."""
+    page = "<html>" + "".join(f"<p>{n} ünï</p>" for n in range(400_000))
+    df = spark.createDataFrame([(1, "u", page), (2, "v", page), (3, "w", "")], "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.archive(df, file_bytes=100_000).collect()}
+    assert got[2].payload == page.encode() and got[1].record_type == "revisit" and got[1].refers_to == 2 and got[3].payload_bytes == 0
+
+
 def test_quality_and_toxicity(spark):
     sf = SMALL.replace("0.001", "0.01")
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

@@ -52,10 +52,6 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def flag(value: bool) -> str:
-    return "true" if value else "false"
-
-
 def open_shared(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder that all executors share; a plain path is a shared mount."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")

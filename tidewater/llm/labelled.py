@@ -17,7 +17,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """At most ``per_class`` texts of each label 0 and 1, none over ``longest`` code points, in an order fixed by id.
 
     Ids that are held out, null, or labelled both ways are left out. The ids are chosen before a text is read, so
-    documents are scanned once, against a list of at most 2 * per_class ids. The second value is the share of label 1
+    documents are scanned once, against a list of at most 2 * per_class ids. Of several texts of an id that with the
+    smallest hash is taken, so that no more texts than ids reach the driver. The second value is the share of label 1
     among all such ids, sampled or not, so that a fit can weigh the sample back to it.
     """
     clear = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).cast("long").alias("_id"))
@@ -25,7 +26,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     of = lambda y: clear.filter(F.col("_label") == y).orderBy("_order", "_id").limit(per_class)
     chosen = F.broadcast(of(0).unionByName(of(1)).select("_id", "_label", "_order"))
     texts = docs.select(F.col(id_col).cast("long").alias("_doc"), text_of(text_col).alias("_text")).filter((F.length("_text") > 0) & (F.length("_text") <= longest))
-    rows = texts.join(chosen, F.col("_doc") == F.col("_id")).select("_order", "_id", "_text", "_label").toArrow().to_pylist()
+    found = texts.join(chosen, F.col("_doc") == F.col("_id")).groupBy("_order", "_id", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    rows = found.select("_order", "_id", "_text", "_label").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["_order"], r["_id"], r["_text"]))
     share = clear.agg(F.avg("_label")).first()[0]
     return [(r["_text"], r["_label"]) for r in rows], 0.5 if share is None else float(share)

@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.session import ship_package, use_utc
+from tidewater.catalog.registry import registered
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
-    def register(make):
-        @wraps(make)
-        def run(spark: SparkSession, sf: str) -> DataFrame:
-            use_utc(spark)
-            ship_package(spark)
-            return make(spark, sf)
-
-        QUERIES[name] = run
-        if sql:
-            SQL[name] = sql.strip()
-        return run
-
-    return register
+    return registered(QUERIES, SQL, name, sql)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -170,7 +170,8 @@ def write_token_files(tokens: DataFrame, folder: str, table: Table) -> DataFrame
                 commit_file(fs, temporary, final)
             yield batch
 
-    ordered = tokens.repartitionByRange("id").sortWithinPartitions("id", "tokens", "ids")
+    order = ["id", "tokens", "ids_hash"]  # so that rows without an id, or of one id, are many ranges
+    ordered = tokens.withColumn("ids_hash", F.xxhash64("ids")).repartitionByRange(*order).sortWithinPartitions(*order)
     report = staged(spark, ordered.mapInArrow(work, MANIFEST), "token-report")
     files = report.select("temporary", "file").distinct()
     staged(spark, files.mapInArrow(commit, files.schema), "token-commit")
@@ -224,7 +225,7 @@ def token_files(df: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id
     """Encode a corpus into token files and read it back: ``id, start, n_tokens, ids_crc32, ids``.
 
     Null text counts as empty and is its end id alone; null ids come first in order; rows that repeat an id stand side
-    by side, the shorter first, then by their ids; an empty table gives an empty result; other columns are ignored.
+    by side, the shorter first, then by a hash of their ids; an empty table gives an empty result; other columns are ignored.
     """
     spark = df.sparkSession
     folder = folder or new_dir(spark, "token-files")

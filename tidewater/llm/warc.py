@@ -1,8 +1,8 @@
 """A deterministic sharded WARC writer and its reader.
 
-Pages are range-sorted by id. Each range is a shard, written as one or more files that roll by compressed size; every
-record is a gzip member of its own. Headers, record ids and digests depend on the page alone, so a rerun writes the same
-records. A task writes under temporary names and reports its files; what Spark kept of the reports is the manifest, and
+Pages are range-sorted by id and digest. Each range is a shard, written as one or more files that roll by compressed
+size; every record is a gzip member of its own. The bounds of the shards are counted over all pages, not sampled, and
+headers, record ids and digests depend on the page alone, so a rerun writes the same files. A task writes under temporary names and reports its files; what Spark kept of the reports is the manifest, and
 only files in it get their names.
 
 Equal payloads are found on digests. The decision that a page is a revisit is a narrow row that is sorted in before the
@@ -15,11 +15,12 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import commit_file, open_shared, staged, text_of
@@ -30,6 +31,9 @@ from tidewater.session import new_dir
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 
+#: Bytes of a record beside its payload, for sizing, and shards at most: their bounds go to every task.
+HEAD_BYTES, SHARDS = 500, 20_000
+
 MANIFEST = "shard int, part int, records long, bytes long, crc32 long, temporary string, file string"
 
 
@@ -85,10 +89,65 @@ def revisits(pages: DataFrame, least: int) -> DataFrame:
     return hot_join(narrow, groups, {"sha256": "group"}).filter(later).select("page_id", "sha256", "refers_to").distinct()
 
 
+def shard_bounds(pages: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The first ``(page_id, sha256)`` of every shard, from the bytes of all pages in order.
+
+    A key that fills shards of its own stands there several times. The bytes before a page are those of the files before
+    and of the rows before in its file of a range sort, so the bounds follow from the pages alone and not from a sample.
+    """
+    spark = pages.sparkSession
+    order = [F.col("page_id").asc_nulls_first(), F.col("sha256")]
+    dealt = pages.select("page_id", "sha256", (F.col("bytes") + HEAD_BYTES).alias("bytes"))
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    path = new_dir(spark, "warc-order")
+    dealt.write.option("maxRecordsPerFile", 0).parquet(path)
+    files = spark.read.schema(dealt.schema).parquet(path).withColumn("at", F.col("_metadata.row_index"))
+    parts = files.groupBy(F.col("part").alias("of_part")).agg(F.sum("bytes").alias("n"))  # one row per file
+    before = Window.orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("of_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = files.withColumn("inner", F.coalesce(F.sum("bytes").over(within), F.lit(0))).join(offsets, F.col("part") == F.col("of_part"))
+    size = F.greatest(F.lit(shard_bytes), F.ceil(F.col("total") / SHARDS))
+    shard = F.floor((F.col("offset") + F.col("inner")) / size)
+    first = placed.groupBy(shard.alias("shard")).agg(F.min_by(F.struct("page_id", "sha256"), F.struct("part", "at")).alias("key"))
+    return [_rank(r.key.page_id, r.key.sha256) for r in first.orderBy("shard").select("key").collect()]
+
+
+def _rank(page_id: int | None, sha256: str) -> tuple:
+    return (page_id is not None, page_id or 0, sha256)
+
+
+def _dealt(rows: DataFrame, bounds: list[tuple]) -> DataFrame:
+    """Rows sorted in their shards; rows of a key that has several shards are spread over them, its mark goes to all."""
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = 0
+        for batch in batches:
+            at, shard = [], []
+            for i, (page_id, sha256, kind) in enumerate(zip(*[batch[c].to_pylist() for c in ("page_id", "sha256", "kind")])):
+                key = _rank(page_id, sha256)
+                high = max(0, bisect_right(bounds, key) - 1)
+                low = min(high, bisect_left(bounds, key))
+                mine = range(low, high + 1) if kind == 0 else (low + turn % (high - low + 1),)
+                turn += 1
+                for n in mine:
+                    at.append(i)
+                    shard.append(n)
+            yield batch.take(pa.array(at, pa.int64())).append_column("shard", pa.array(shard, pa.int32()))
+
+    marked = rows.mapInArrow(deal, ", ".join(f"{n} {t}" for n, t in kinds.items()) + ", shard int")
+    return marked.repartitionById(max(1, len(bounds)), F.col("shard")).drop("shard").sortWithinPartitions(F.col("page_id").asc_nulls_first(), "sha256", "kind", "url")
+
+
 def write_warc(
-    df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", file_bytes: int = 64 << 20, least: int = 1000
+    df: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", file_bytes: int = 64 << 20, least: int = 1000, shard_bytes: int = 16 << 20
 ) -> DataFrame:
-    """Write the archives into ``folder`` and give their manifest, one row per file."""
+    """Write the archives into ``folder`` and give their manifest, one row per file.
+
+    Shards of about ``shard_bytes``, more where that would be over ``SHARDS`` of them, follow from the pages alone, so the
+    same files come out of every run.
+    """
     html = text_of(html_col)
     pages = df.select(
         F.col(id_col).cast("long").alias("page_id"),
@@ -144,7 +203,7 @@ def write_warc(
             yield batch
 
     spark = df.sparkSession
-    dealt = rows.repartitionByRange("page_id").sortWithinPartitions("page_id", "sha256", "kind", "url")
+    dealt = _dealt(rows, shard_bounds(pages, shard_bytes))
     report = staged(spark, dealt.mapInArrow(work, MANIFEST), "warc-report")
     report.mapInArrow(commit, report.schema).drop("temporary").write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
