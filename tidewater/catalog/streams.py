@@ -220,6 +220,26 @@ def refund_pay_success_stream(spark, sf):
     return run_to_end(joins.refund_pay_success(*parts, fx.dictionary(spark, sf), ALL_TIME), "refund-pay")
 
 
+@query("order_refund_changelog", SQL["order_refund"])
+def order_refund_changelog(spark, sf):
+    """The join that needs no bound of time between a request and its order."""
+    log = fx.change_log(spark, sf, "order_info", "refund")
+    refunds = _staged(spark, "refunds", facts.refund_rows(log, DB))
+    orders = _staged(spark, "refunding", facts.orders_with_status(log, DB, "1005"))
+    return changelog.fold(run_to_end(changelog.order_refund(refunds, orders, fx.dictionary(spark, sf)), "order-refund-changes"))
+
+
+@query("refund_pay_success_changelog", SQL["refund_pay_success"])
+def refund_pay_success_changelog(spark, sf):
+    log = fx.change_log(spark, sf, "order_info", "refund")
+    parts = [
+        _staged(spark, "refund-paid", facts.refund_paid_rows(log, DB)),
+        _staged(spark, "refund-done", facts.refund_done_rows(log, DB)),
+        _staged(spark, "refunded-orders", facts.orders_with_status(log, DB, "1006")),
+    ]
+    return changelog.fold(run_to_end(changelog.refund_pay_success(*parts, fx.dictionary(spark, sf)), "refund-pay-changes"))
+
+
 @query("comment_info_stream", SQL["comment_info"])
 def comment_info_stream(spark, sf):
     log = _staged(spark, "comments", fx.change_log(spark, sf, "comment_info"))
