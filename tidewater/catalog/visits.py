@@ -10,6 +10,7 @@ from tidewater.catalog.sqltext import LOG, READINGS, openers
 from tidewater.functions.time import DATE_TIME
 from tidewater.operators import visits, windows
 from tidewater.plans import warehouse
+from tidewater.session import new_dir
 
 NEW_FLAG_SQL = f"""
 WITH {LOG}, first AS (
@@ -52,10 +53,9 @@ def sv_flag(spark, sf):
     return visits.session_flag(flat).select("seq", "sid", "sv")
 
 
-@query(
-    "traffic_window",
-    f"""
-WITH RECURSIVE {LOG}, shown AS (SELECT * FROM log WHERE event_type <> 'signup'), {openers('shown')},
+def _traffic(shown: str) -> str:
+    """Hourly traffic of the pages ``shown``."""
+    return f"""{shown}, {openers('shown')},
 flags AS (
   SELECT shown.*, date_trunc('hour', et) AS h, CASE WHEN opened.seq IS NULL THEN 0 ELSE 1 END AS sv,
     CASE WHEN lag(day) OVER (PARTITION BY mid ORDER BY shown.ts, shown.seq) = day THEN 0 ELSE 1 END AS uv
@@ -66,12 +66,53 @@ SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS stt, strftime(h + INTERVAL 1 HOUR, '%
   CAST(sum(uv) AS BIGINT) AS uv_count, CAST(sum(sv) AS BIGINT) AS sv_count, count(*) AS pv_count,
   CAST(sum(during_time) AS BIGINT) AS duration_sum
 FROM flags GROUP BY h, vc, ch, ar, is_new
-""",
-)
+"""
+
+
+@query("traffic_window", f"WITH RECURSIVE {LOG}, " + _traffic("shown AS (SELECT * FROM log WHERE event_type <> 'signup')"))
 def traffic_window(spark, sf):
     return warehouse.traffic_summary(fx.app_log(spark, sf), "1 hour")
 
 
+# What the log split leaves on its page output: whole records, flags repaired over all records, no starts.
+PAGES = f"""{LOG}, whole AS (SELECT * FROM log WHERE seq % 97 <> 0), devices AS (
+  SELECT *, first_value(is_new) OVER w AS new0, CAST(first_value(et) OVER w AS DATE) AS day0
+  FROM whole WINDOW w AS (PARTITION BY mid ORDER BY ts, seq)
+), shown AS (
+  SELECT * REPLACE (CASE WHEN is_new = '1' AND CAST(et AS DATE) <> CASE WHEN new0 = '1' THEN day0 ELSE day0 - 1 END
+    THEN '0' ELSE is_new END AS is_new)
+  FROM devices WHERE event_type <> 'signup'
+)"""
+
+
+def _stored_pages(spark, sf):
+    path, staging = new_dir(spark, "split-log"), new_dir(spark, "split-staging")
+    warehouse.write_log(fx.app_log_lines(spark, sf), path, staging)
+    return warehouse.stored_pages(spark, path)
+
+
+@query("traffic_window_pages", "WITH RECURSIVE " + _traffic(PAGES))
+def traffic_window_pages(spark, sf):
+    """The summary as a job of its own, which reads the page output that the split has stored."""
+    return warehouse.traffic_summary(_stored_pages(spark, sf), "1 hour")
+
+
+@query(
+    "keyword_window_pages",
+    f"""
+WITH {PAGES}, words AS (
+  SELECT date_trunc('hour', et) AS h, unnest(string_split(item, ' ')) AS keyword FROM shown
+  WHERE last_page_id IN ('search', 'home') AND item_type = 'keyword' AND item IS NOT NULL
+)
+SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS stt, strftime(h + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS edt,
+  strftime(h, '%Y-%m-%d') AS cur_date, keyword, count(*) AS keyword_count
+FROM words GROUP BY h, keyword
+""",
+)
+def keyword_window_pages(spark, sf):
+    return warehouse.keyword_summary(_stored_pages(spark, sf), "1 hour")
+
+
 SLIDING = f"""
 {READINGS}, counts AS (
   SELECT (sec // 3600) * 3600 + step AS window_end, val, count(*) AS cnt

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +18,7 @@ from tidewater.functions.time import et_from_millis
 from tidewater.operators import windows
 from tidewater.operators.windows import keyword_window, search_terms, traffic_window
 from tidewater.sinks.files import write_by_target
+from tidewater.sources.lines import app_log
 from tidewater.sinks.keyed import CellTable, cell_rows
 from tidewater.streaming import state
 
@@ -120,6 +121,12 @@ def write_log(lines: DataFrame, path: str, staging: str, run: int | None = None)
     write_by_target(routes(repair_new_flag(log)).unionByName(dirty), path, "route", run)
 
 
+def stored_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The page output of the log split that lies under ``path``, as log rows for the summaries; other routes are not read."""
+    lines = spark.read.parquet(path).where(F.col("route") == "page").select("value")
+    return app_log(lines)
+
+
 def log_line_stream(lines: DataFrame) -> DataFrame:
     """The log split as a stream of ``route, value``; the visitor flag comes from keyed state per device.
 
