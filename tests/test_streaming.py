@@ -50,6 +50,17 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert got == [(0, 1), (20, 1), (30, 2)]
 
 
+def test_heaps_hold_no_more_than_the_best():
+    """Any order of arrival gives the values of a sort; null wins ties."""
+    rng = random.Random(6)
+    rows_ = [(w, rng.choice([None, *range(9)]), rng.randint(1, 5)) for w in range(3) for _ in range(40)]
+    for n in (1, 2, 5):
+        for window, heap in stream_windows._best(iter(rows_), n).items():
+            own = sorted(((-c, v is not None, v or 0) for w, v, c in rows_ if w == window))[:n]
+            got = [(-c, (v := stream_windows._value(x)) is not None, v or 0) for c, x in sorted(heap, reverse=True)]
+            assert got == own
+
+
 def test_top_values_of_closed_windows(spark, tmp_path):
     batch = [("k", 1, v, i) for i, v in enumerate([7, 7, 3, 3, 5, 5, 5, 1])]
     stream = files(spark, tmp_path, READING, batch, [("k", 1000, 0, 99)])
