@@ -28,9 +28,8 @@ def word_costs(texts: DataFrame, text: Column, size: int = 50_000, longest: int
     """
     words = texts.select(F.explode(tokens(F.lower(text))).alias("word"))
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))  # one row
-    best = counts.where(F.length("word") <= longest).orderBy(F.desc("n"), "word").limit(size)
-    return best.crossJoin(F.broadcast(total))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.where(F.length("word") <= longest).orderBy(F.desc("n"), "word").limit(size).withColumn("total", total)
 
 
 class Lattice:
