@@ -120,9 +120,9 @@ def merged(lang: str, found: list[bytes], longest: int, least: int) -> pa.Record
         pa.BufferReader(b"".join(map(unpack, found))),
         csv.ReadOptions(column_names=[*names, "f"], use_threads=False),
         csv.ParseOptions(delimiter="\t", quote_char=False, escape_char=False),
-        csv.ConvertOptions(column_types={**{w: pa.string() for w in names}, "f": pa.int64()}, strings_can_be_null=False),
+        csv.ConvertOptions(column_types={**{w: pa.large_string() for w in names}, "f": pa.int64()}, strings_can_be_null=False),
     )
-    coded = pa.chunked_array([*(c for w in names for c in lines[w].chunks), pa.array([""])]).combine_chunks().dictionary_encode()
+    coded = pa.chunked_array([*(c for w in names for c in lines[w].chunks), pa.array([""], pa.large_string())]).combine_chunks().dictionary_encode()
     codes, base = np.asarray(coded.indices).astype(np.int64).reshape(-1), len(coded.dictionary)
     empty, columns = codes[-1], codes[:-1].reshape(longest, -1)
     prefix_key, window = columns[0], columns[-1]
@@ -144,7 +144,7 @@ def merged(lang: str, found: list[bytes], longest: int, least: int) -> pa.Record
     first = np.flatnonzero((np.diff(cut, axis=1, prepend=-1) != 0).any(0))
     cut, cut_f = cut[:, first], np.add.reduceat(cut_f, first) if len(first) else cut_f[:0]
     out, counts = np.concatenate((windows[:, ~rest], cut), axis=1), np.concatenate((f[~rest], cut_f))
-    return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(counts)), *[coded.dictionary.take(pa.array(c)) for c in out], pa.array(counts)], ["lang", *names, "f"])
+    return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(counts)), *[coded.dictionary.take(pa.array(c)).cast(pa.string()) for c in out], pa.array(counts)], ["lang", *names, "f"])
 
 
 def frequencies(docs: DataFrame, longest: int, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
