@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -285,3 +286,42 @@ def test_equal_times_follow_the_log_position(spark, tmp_path):
     table.write_batch(spark.createDataFrame([("a", "second", 1, 2), ("a", "first", 1, 1)], schema), 0)
     table.write_batch(spark.createDataFrame([("a", "zeroth", 1, 0)], schema), 1)
     assert rows(table.read()) == [("a", "second", 1, 2)]
+
+
+class CountingHandle:
+    """State of one key in memory, with the number of calls that would go to the store."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+def test_flags_take_plain_rows_and_few_state_calls():
+    made = Row("sid", "ts", "seq")
+    day = state.DAY_MS
+    handle, flags = CountingHandle(), state.SessionStart(100, True)
+    flags.init(handle)
+    got = list(flags.handleInputRows(("s",), iter([made("s", 250, 3), made("s", 0, 1), made("s", 99, 2)]), None))
+    assert [(r.ts, r.seq, r.sv) for r in got] == [(0, 1, 1), (99, 2, 0), (250, 3, 1)]
+    assert handle.calls == 3 and handle.value == (250,) and handle.timers == [350]
+    assert [r.sv for r in flags.handleInputRows(("s",), iter([made("s", 349, 4)]), None)] == [0] and handle.calls == 4
+
+    handle, flags = CountingHandle(), state.DailyVisitor(True)
+    flags.init(handle)
+    got = list(flags.handleInputRows(("m",), iter([made("s", day, 2), made("s", 5, 1), made("s", day + 1, 3)]), None))
+    assert [r.uv for r in got] == [1, 1, 0] and handle.value == ("1970-01-02",) and handle.timers == [2 * day] and handle.calls == 3
+    assert [r.uv for r in flags.handleInputRows(("m",), iter([made("s", day + 2, 4)]), None)] == [0] and handle.calls == 4

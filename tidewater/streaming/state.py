@@ -1,7 +1,8 @@
 """Keyed state on ``transformWithState``: alerts, visitor flags, session flags and timers.
 
-Rows of a key come in Arrow batches. Where the order matters, a processor sorts the rows a key has in one
-micro-batch by their time and sequence, so the amount admitted per trigger (``maxFilesPerTrigger``,
+Rows of a key come in pandas frames or, for daily and session flags, one by one: a device or session has few rows in a
+micro-batch, and a frame per key costs more than its rows. Where the order matters, a processor sorts the rows a key has
+in one micro-batch by their time and sequence, so the amount admitted per trigger (``maxFilesPerTrigger``,
 ``maxBytesPerTrigger`` or ``maxOffsetsPerTrigger``) bounds its memory. State per key is a few values.
 
 Alerts, daily flags and session flags forget. Given ``et``, the watermarked time column, a timer clears the state of
@@ -14,10 +15,12 @@ A query may start from a batch snapshot of the rows before it (``known``), so th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import UTC, datetime
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -35,29 +38,44 @@ def _days(ms: pd.Series) -> pd.Series:
     return pd.to_datetime(ms, unit="ms").dt.strftime("%Y-%m-%d")
 
 
+def _rows_in_order(rows: Iterator[Row]) -> list[Row]:
+    """Rows by ``ts, seq``, those without a time last."""
+    return sorted(rows, key=lambda row: (row.ts is None, row.ts or 0, row.seq))
+
+
+@lru_cache(maxsize=10_000)
+def _day_text(number: int) -> str:
+    return datetime.fromtimestamp(number * 86_400, UTC).strftime("%Y-%m-%d")
+
+
+@lru_cache(maxsize=10_000)
+def _day_end(day: str) -> int:
+    return int(pd.Timestamp(day).timestamp() * 1000) + DAY_MS
+
+
 class Forgetful(StatefulProcessor):
     """A processor whose key forgets its only value ``kept`` when the timer of its last update fires."""
 
     timed = False
     fields: T.StructType
 
-    def lasts_until(self) -> int:
+    def lasts_until(self, value: tuple) -> int:
         """Milliseconds until which the value matters."""
         raise NotImplementedError
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """The value of a key before the stream begins; the columns beside the key are the value's fields."""
-        for _, row in initialState.iterrows():
-            self.remember(tuple(v.item() if isinstance(v, np.generic) else v for v in row.iloc[-len(self.fields) :]))
+        """The value of a key before the stream begins, as a row; the columns beside the key are the value's fields."""
+        self.remember(tuple(initialState)[-len(self.fields) :])
 
     def remember(self, value: tuple) -> None:
         self.kept.update(value)
         if self.timed:
-            self.handle.registerTimer(self.lasts_until())
+            self.handle.registerTimer(self.lasts_until(value))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:
         """Timers of values that were replaced since find a value that lasts longer."""
-        if self.kept.exists() and self.lasts_until() <= expiredTimerInfo.getExpiryTimeInMs():
+        value = self.kept.get()
+        if value is not None and self.lasts_until(value) <= expiredTimerInfo.getExpiryTimeInMs():
             self.kept.clear()
         return iter(())
 
@@ -73,8 +91,8 @@ class JumpAlert(Forgetful):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.kept = handle, handle.getValueState("last", LAST)
 
-    def lasts_until(self) -> int:
-        return (self.kept.get()[0] + self.ttl) * 1000
+    def lasts_until(self, value: tuple) -> int:
+        return (value[0] + self.ttl) * 1000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, "sec", "seq")
@@ -133,16 +151,20 @@ class DailyVisitor(Forgetful):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.kept = handle, handle.getValueState("last", DAY)
 
-    def lasts_until(self) -> int:
-        return int(pd.Timestamp(self.kept.get()[0]).timestamp() * 1000) + DAY_MS
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, "ts", "seq")
-        days = _days(batch["ts"])
-        before = days.shift(1)
-        before.iloc[0] = self.kept.get()[0] if self.kept.exists() else ""
-        self.remember((days.iloc[-1],))
-        yield batch.assign(uv=(days != before).astype("int32"))
+    def lasts_until(self, value: tuple) -> int:
+        return _day_end(value[0])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = self.kept.get()
+        before = last = kept[0] if kept is not None else None
+        flagged = None
+        for row in _rows_in_order(rows):
+            flagged = flagged or Row(*row.__fields__, "uv")
+            day = _day_text(row.ts // DAY_MS) if row.ts is not None else None
+            yield flagged(*row, int(day is None or day != last))
+            last = day or last
+        if last != before:
+            self.remember((last,))
 
     def close(self) -> None:
         pass
@@ -159,22 +181,21 @@ class SessionStart(Forgetful):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.kept = handle, handle.getValueState("opened", MOMENT)
 
-    def lasts_until(self) -> int:
-        return self.kept.get()[0] + self.ttl_ms
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, "ts", "seq")
-        ts = batch["ts"].to_numpy()
-        flags = np.zeros(len(ts), dtype="int32")
-        at = int(np.searchsorted(ts, self.lasts_until())) if self.kept.exists() else 0
-        last = None
-        while at < len(ts):
-            flags[at] = 1
-            last = int(ts[at])
-            at = int(np.searchsorted(ts, last + self.ttl_ms))
+    def lasts_until(self, value: tuple) -> int:
+        return value[0] + self.ttl_ms
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = self.kept.get()
+        ready = self.lasts_until(kept) if kept is not None else None
+        last, flagged = None, None
+        for row in _rows_in_order(rows):
+            flagged = flagged or Row(*row.__fields__, "sv")
+            opens = row.ts is not None and (ready is None or row.ts >= ready)
+            if opens:
+                last, ready = row.ts, row.ts + self.ttl_ms
+            yield flagged(*row, int(opens))
         if last is not None:
             self.remember((last,))
-        yield batch.assign(sv=flags)
 
     def close(self) -> None:
         pass
@@ -230,7 +251,7 @@ def _flagged(df: DataFrame, flag: str) -> T.StructType:
 
 def _run(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType, et: str | None, known=None) -> DataFrame:
     mode = {"timeMode": "EventTime", "eventTimeColumnName": et} if et else {"timeMode": "None"}
-    return df.groupBy(key).transformWithStateInPandas(processor, schema, "Append", **mode, initialState=known)
+    return df.groupBy(key).transformWithState(processor, schema, "Append", **mode, initialState=known)
 
 
 def daily_visitor_flag(visits: DataFrame, et: str | None = None, known: DataFrame | None = None) -> DataFrame:
