@@ -5,11 +5,12 @@ import random
 import re
 from math import log
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, rows
-from tidewater.functions.segment import PIECES, Lattice, lattice_of, register_segmenter, segmenter, word_costs
+from tidewater.functions.segment import PIECES, SLICE, Lattice, _cutter, lattice_of, register_segmenter, segmenter, word_costs
 from tidewater.functions.text import explode_tokens
 
 
@@ -98,3 +99,11 @@ def test_documents(spark):
         pieces = [p for p in regex.split(r"[\p{P}\p{S}\s]+", re.sub(r"[ \t\n\x0b\f\r]+", "", r.text).lower()) if p]
         words = [w for p in pieces for w in best(p)]
         assert got[r.doc_id] == (len(words), hashlib.sha256(" ".join(words).encode()).hexdigest())
+
+
+def test_texts_are_cut_slice_by_slice_in_arrow(spark):
+    model = word_costs(spark.createDataFrame([("red box red",)], "t string"), F.col("t"))
+    texts = [None if i % 7 == 0 else [] if i % 7 == 1 else ["redbox", f"x{i}red"] for i in range(2 * SLICE + 1)]
+    found = _cutter(model).func(pa.array(texts, pa.list_(pa.string())))
+    assert found.to_pylist() == [None if t is None else [w for p in t for w in (["red", "box"] if p == "redbox" else [p[:-3], "red"])] for t in texts]
+    assert _cutter(model).func(pa.array([], pa.list_(pa.string()))).to_pylist() == []

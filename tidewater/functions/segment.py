@@ -11,7 +11,7 @@ from collections.abc import Callable
 from math import log
 from zlib import crc32
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +19,8 @@ from tidewater.functions.text import SEPARATORS, tokens
 
 #: Words of a model at most: it is sent to every worker.
 LARGEST = 500_000
+#: Texts whose words are held as Python objects at a time.
+SLICE = 50
 
 
 def word_costs(texts: DataFrame, text: Column, size: int = 50_000, longest: int = 24) -> DataFrame:
@@ -93,20 +95,26 @@ _built: dict[int, Lattice] = {}
 
 
 def _cutter(model: DataFrame):
-    """Pandas UDF that cuts the pieces of a text; a worker builds the lattice of a model once."""
+    """Arrow UDF that cuts the pieces of a text; a worker builds the lattice of a model once.
+
+    Words are objects of Python for ``SLICE`` texts at a time only; what a batch holds otherwise is Arrow.
+    """
     spark = model.sparkSession
     rows = sorted(tuple(r) for r in model.select("word", "n", "total").limit(LARGEST + 1).collect())
     if len(rows) > LARGEST:
         raise ValueError(f"a model may hold {LARGEST} words")
     shared, name = spark.sparkContext.broadcast(rows), crc32(repr(rows).encode())
 
-    @F.pandas_udf("array<string>")
-    def cut(pieces: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def cut(pieces: pa.Array) -> pa.Array:
         if name not in _built:
             _built.clear()
             _built[name] = lattice_of(shared.value)
-        best = _built[name].best
-        return pieces.map(lambda row: None if row is None else [word for piece in row for word in best(piece)])
+        best, kind, done = _built[name].best, pa.list_(pa.string()), []
+        for at in range(0, len(pieces), SLICE):
+            texts = pieces.slice(at, SLICE).to_pylist()
+            done.append(pa.array([None if text is None else [word for piece in text for word in best(piece)] for text in texts], kind))
+        return pa.concat_arrays(done) if done else pa.array([], kind)
 
     return cut
 
