@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidewater import schemas
+from tidewater.catalog import QUERIES, dims
 from tidewater.functions.values import keep_columns, with_entry
 from tidewater.operators import changes
 from tidewater.operators.routing import dim_route, dwd_route
@@ -217,3 +218,13 @@ def test_changes_of_one_second_keep_the_order_of_the_log(spark, tmp_path):
     for batch, some in enumerate((lines[3:], lines[:3])):
         table.write_batch(dim_route(src.change_log(spark.createDataFrame(some, "value string, pos bigint")), dims), batch)
     assert {r.row_key: r.data["a"] for r in table.read().collect()} == {"1": "new", "2": "b"}
+
+
+def test_steps_of_a_routed_stream_are_written_by_many_tasks(spark, tmp_path, sf, monkeypatch):
+    made = spark.range(50).withColumn("v", F.lit("x"))
+    for name, made_rows in (("all", made), ("few", made.where("id < 2")), ("none", made.where("id < 0"))):
+        dims.write_step(made_rows, str(tmp_path / name), 5)
+        staged = spark.read.schema(made.schema).parquet(str(tmp_path / name))
+        assert len(staged.inputFiles()) == 5 and rows(staged) == rows(made_rows)
+    monkeypatch.setattr(dims, "ORDERS_A_FILE", 400)
+    assert rows(QUERIES["dim_route_at_stream"](spark, sf)) == rows(QUERIES["dim_route_at"](spark, sf))

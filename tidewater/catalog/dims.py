@@ -144,17 +144,31 @@ def route_dims_at(spark, sf):
     return _order_rows(dim_route_at(log, fx.order_config_changes(spark, sf), "ts", 30 * 86_400))
 
 
+#: Orders that one file of a step of the order log may hold, about.
+ORDERS_A_FILE = 250_000
+
+
+def write_step(rows, path, files):
+    """A step of a log as ``files`` files, each by a task of its own, so that a batch of so many files is the step."""
+    dealt = rows.repartition(files) if files > 1 else rows.coalesce(1)
+    dealt.write.parquet(path)
+    staged = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    for _ in range(files - len(staged.inputFiles())):  # tasks without rows write no file
+        staged.limit(0).coalesce(1).write.mode("append").parquet(path)
+
+
 @query("dim_route_at_stream", ROUTE_AT_SQL)
 def route_dims_at_stream(spark, sf):
     """Both logs as streams that advance a year or two at a time."""
     log, config = fx.change_log(spark, sf, "order_info"), fx.order_config_changes(spark, sf)
     paths = [new_dir(spark, "route-log"), new_dir(spark, "route-config")]
+    files = [-(-fx.table(spark, sf, "orders").count() // ORDERS_A_FILE) or 1, 1]
     for year in (0, 1997, 1999, 2100):
-        for rows, path, at in ((log, paths[0], "ts"), (config, paths[1], "seq")):
+        for rows, path, at, n in ((log, paths[0], "ts", files[0]), (config, paths[1], "seq", files[1])):
             years = F.year(F.timestamp_seconds(at))
             until = {0: years < 1997, 1997: (years >= 1997) & (years < 1999), 1999: years >= 1999, 2100: F.lit(False)}[year]
-            rows.where(until).coalesce(1).write.parquet(f"{path}/{year:04d}")
-    streams = [stream_table(spark, p, r.schema, per_batch=1, recursiveFileLookup="true") for p, r in zip(paths, (log, config))]
+            write_step(rows.where(until), f"{path}/{year:04d}", n if year < 2100 else 1)
+    streams = [stream_table(spark, p, r.schema, per_batch=n, recursiveFileLookup="true") for p, r, n in zip(paths, (log, config), files)]
     out = new_dir(spark, "routed")
     warehouse.dimension_stream_at(*streams, out, new_dir(spark, "route-checkpoint"), DB, "ts").awaitTermination()
     return _order_rows(spark.read.parquet(out))
