@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,11 +24,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import join_pieces, small_batches, strings
+from tidewater.llm.common import small_batches, strings
 
 #: Words that a worker remembers at most, and bytes of a word from which the heap is the faster way.
 REMEMBERED, LONG = 250_000, 1000
 
+#: Bytes of text whose words are Python objects and arrays at a time; texts longer than that stand alone.
+TOGETHER = 1 << 20
+
 
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -46,13 +50,18 @@ class Replay:
         for rank, token in self.tokens.items():
             lengths[rank] = len(token)
         self.token_lengths = lengths
-        self.token_starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        self.token_bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(top)), np.uint8)
+        self.token_bytes = pa.array([self.tokens.get(i, b"") for i in range(top)], pa.large_binary())
 
         # every pair of tokens that makes a token, by one number; ``top`` stands for no merge
-        pairs = [(a * top + b, rank) for token, rank in ranks.items() for cut in range(1, len(token)) if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None]
-        pairs = np.array(sorted(pairs), np.int64).reshape(-1, 2)
-        self.pair_keys, self.pair_made = np.append(pairs[:, 0], top * top), np.append(pairs[:, 1], top)
+        keys, made = array("q"), array("q")
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                if (a := ranks.get(token[:cut])) is not None and (b := ranks.get(token[cut:])) is not None:
+                    keys.append(a * top + b)
+                    made.append(rank)
+        keys, made = np.array(keys, np.int64), np.array(made, np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_made = np.append(keys[order], top * top), np.append(made[order], top)
         ids = np.array(self.byte_ids, np.int64)
         self.byte_table = ids
         self.byte_pairs = self.made(np.repeat(ids, 256), np.tile(ids, 256)).reshape(256, 256)
@@ -186,7 +195,9 @@ class Replay:
         return [np.array([s for s in symbols[a:b] if s >= 0], "<i4").tobytes() for a, b in spans]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
-        return join_pieces(self.token_bytes, self.token_starts[ids], self.token_lengths[ids])
+        """The bytes of all tokens one after the other; Arrow joins them without a number per byte."""
+        joined = self.token_bytes.take(pa.array(ids)).buffers()[2]
+        return np.frombuffer(joined or b"", np.uint8)
 
 
 _loaded: dict[tuple[str, str], tuple] = {}
@@ -221,7 +232,7 @@ def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text", TOGETHER):
             replay, ids, counts = encode_batch(strings(batch["text"]).to_pylist(), ranks_path, pattern)
             bytes_each = replay.token_lengths[ids]
             ends = np.concatenate(([0], np.cumsum(counts)))
