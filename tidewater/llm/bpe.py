@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small_batches, strings
+from tidewater.llm.common import bound_batches, small_batches, strings
 
 #: Words that a worker remembers at most, and bytes of a word from which the heap is the faster way.
 REMEMBERED, LONG = 250_000, 1000
@@ -246,6 +246,7 @@ def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "d
                 ["id", "ids", "decoded"],
             )
 
+    bound_batches(df.sparkSession)
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(work, "id long, ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 

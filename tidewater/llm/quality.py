@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small_batches, strings
+from tidewater.llm.common import bound_batches, small_batches, strings
 from tidewater.llm.labelled import held_out, labelled_sample, weights_to
 
 LEVEL = 3
@@ -132,4 +132,5 @@ def good_documents(docs: DataFrame, model: QualityModel, text_col: str = "text")
         for batch in small_batches(batches, text_col):
             yield batch.filter(pa.array(model.scores(strings(batch[text_col]).to_pylist()) >= THRESHOLD))
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(work, docs.schema)

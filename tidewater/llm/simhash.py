@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import ROW, small_batches, staged, strings, text_of, with_row
+from tidewater.llm.common import ROW, bound_batches, small_batches, staged, strings, text_of, with_row
 from tidewater.llm.components import components
 from tidewater.operators.skew import hot_join
 
@@ -69,6 +69,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(np.array(bits, np.uint64).view(np.int64)), *[batch[c] for c in keep]], ["id", "bits", *keep])
 
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *keep)
+    bound_batches(df.sparkSession)
     return source.mapInArrow(work, ", ".join(f"{c} long" for c in ("id", "bits", *keep)))
 
 
