@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,12 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import commit_file, join_pieces, open_shared, small_batches, staged, strings
+from tidewater.llm.common import bound_batches, commit_file, join_pieces, open_shared, small_batches, staged, strings
 from tidewater.llm.rans import Block, Table, encode_block
 from tidewater.session import new_dir
 
-#: Words that a worker remembers at most, and tokens of a block; a longer document is a block of its own.
-REMEMBERED = 800_000
+#: Words that a worker remembers at most in each of two sets, and tokens of a block; a longer document is a block of its own.
+REMEMBERED = 300_000
 BLOCK = 1 << 20
 
 #: Letters and digits, and punctuation, between which the tokenizer's pattern always cuts. The apostrophe
@@ -43,10 +44,36 @@ def _tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
+        _loaded[path] = (Tokenizer.from_file(path), [{}, {}])
     return _loaded[path]
 
 
+def _encoded(words: list[str], path: str) -> list[bytes]:
+    """The ids of different words as bytes.
+
+    Known words are kept in two sets. When the newer is full it becomes the older one, whose words are lost unless they
+    are met again before the next change, so that frequent words stay.
+    """
+    tokenizer, known = _tokenizer(path)
+    pieces = list(map(known[0].get, words))
+    missing = [i for i, piece in enumerate(pieces) if piece is None]
+    for at in range(0, len(missing), 10_000):
+        part = missing[at : at + 10_000]
+        if len(known[0]) >= REMEMBERED:
+            known[:] = {}, known[0]
+        newer, older = known
+        new = []
+        for i in part:
+            piece = pieces[i] = older.get(words[i])
+            if piece is None:
+                new.append(i)
+            else:
+                newer[words[i]] = piece
+        for i, encoding in zip(new, tokenizer.encode_batch_fast([words[i] for i in new], add_special_tokens=False)):
+            pieces[i] = newer[words[i]] = array("I", encoding.ids).tobytes()
+    return pieces
+
+
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array with ``end_id`` after each, and their numbers.
 
@@ -55,21 +82,12 @@ def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, n
     set where its pattern cuts anyway. Texts that may hold the name of a special token are left as they are, and so are
     texts with a combining mark, which the tokenizer composes with the letter before it before letters become small.
     """
-    tokenizer, known = _tokenizer(path)
     apart = pc.replace_substring_regex(pc.ascii_lower(texts), f"({LETTER})({MARK})", r"\1 \2")
     apart = pc.replace_substring_regex(apart, f"({MARK})({LETTER})", r"\1 \2")
     plain = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, r"\pM"))
     split = pc.ascii_split_whitespace(pc.if_else(plain, texts, apart))
     words = split.flatten().dictionary_encode()
-    different = words.dictionary.to_pylist()
-    if len(known) > REMEMBERED:
-        known.clear()
-    new = [w for w in different if w not in known]
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
-        for word, encoding in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            known[word] = np.array(encoding.ids, np.uint32).tobytes()
-    pieces = [known[w] for w in different]
+    pieces = _encoded(words.dictionary.to_pylist(), path)
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
     starts = np.cumsum(sizes) - sizes
     codes = np.asarray(words.indices).astype(np.int64)
@@ -91,6 +109,7 @@ def tokenised(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
             data = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids.astype(width))])
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(counts), pa.array(np.full(len(counts), int(width[-1]), np.int32)), data], ["id", "tokens", "width", "ids"])
 
+    bound_batches(df.sparkSession)
     source = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return source.mapInArrow(work, "id long, tokens long, width int, ids binary")
 
