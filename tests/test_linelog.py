@@ -6,7 +6,7 @@ import pytest
 
 from tests.conftest import rows
 from tidewater.sources import lines as src
-from tidewater.sources.linelog import LineStream, _Log, read_line_log
+from tidewater.sources.linelog import LineReader, LineStream, _Log, read_line_log
 
 TEXT = "one\ntwo\n\nünïcode 日本\r\n" + "long " * 50 + "\nlast"
 
@@ -100,3 +100,54 @@ def test_positions_order_changes_of_one_second(spark, tmp_path):
     Path(tmp_path, "log.txt").write_text("\n".join(made) + "\nno json\n")
     log = src.change_log(read_line_log(spark, str(tmp_path)))
     assert [r.data["v"] for r in sorted(log.collect(), key=lambda r: r.pos)] == ["a", "b", "c"]
+
+
+def test_small_splits_share_a_task(tmp_path):
+    want = whole(tmp_path)
+    reader = LineReader({"path": str(tmp_path), "splitbytes": "3", "tasks": "4"})
+    parts = reader.partitions()
+    assert 4 <= len(parts) <= 8 < sum(len(p.parts) for p in parts)
+    assert [tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist()] == want
+
+
+def test_a_split_reads_its_own_bytes_only(tmp_path):
+    Path(tmp_path, "a.log").write_bytes(b"a line of text\n" * 200_000)
+    log, read = _Log({"path": str(tmp_path), "splitbytes": 200_000}), 0
+
+    class Counted:
+        def __init__(self, source):
+            self.source = source
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            self.source.close()
+
+        def seek(self, at):
+            self.source.seek(at)
+
+        def read(self, n):
+            nonlocal read
+            data = self.source.read(n)
+            read += len(data)
+            return data
+
+    class Files:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def open_input_file(self, path):
+            return Counted(self.fs.open_input_file(path))
+
+    ranges = log.ranges({}, log.sizes(), tail=True)
+    log.fs = Files(log.fs)
+    assert sum(b.num_rows for part in ranges for b in log.lines(part)) == 200_000
+    assert read < 2 * 3_000_000
+
+
+def test_read_as_few_tasks(spark, tmp_path):
+    want = whole(tmp_path, "line\n" * 3000)
+    lines = read_line_log(spark, str(tmp_path), splitBytes="10")
+    assert lines.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+    assert rows(lines) == rows(spark.createDataFrame(want[:-1], lines.schema))

@@ -6,8 +6,9 @@ at most ``bytesPerTrigger`` bytes, or one line where that is longer; what it tak
 is read, so that a restarted query, which asks anew where the log ends, never gets a place behind the one it knows.
 Only lines that are ended are read by a stream; a batch also reads a last line without its end.
 
-Ranges are cut into splits of ``splitBytes``. A split owns the lines that begin in it, wherever they end, so no task
-reads more of a file than its split and one line.
+Ranges are cut into splits of ``splitBytes``. A split owns the lines that begin in it, wherever they end, so no more of a
+file is read for it than itself and one line. A task of a batch reads small splits one after the other, up to
+``TASK_BYTES`` of them, as long as there are ``tasks`` tasks: a Python task costs more to start than a small split to read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "value string, file string, pos bigint"
-BUFFER = 4 << 20
+#: Bytes read at a time at most, and where only the end of a line is wanted.
+BUFFER, LINE = 4 << 20, 64 << 10
+#: Bytes of the small splits that share a task at most.
+TASK_BYTES = 64 << 20
 
 
 class Range(InputPartition):
@@ -31,6 +35,25 @@ class Range(InputPartition):
         self.file, self.begin, self.a, self.b, self.tail = file, begin, a, b, tail
 
 
+class Ranges(InputPartition):
+    def __init__(self, parts: list[Range]):
+        self.parts = parts
+
+
+def shared(ranges: list[Range], tasks: int) -> list[Ranges]:
+    """Neighbouring ranges put together for at least ``tasks`` tasks, if there are so many, of at most ``TASK_BYTES``."""
+    limit = min(TASK_BYTES, sum(r.b - r.a for r in ranges) / tasks)
+    made, held = [], 0
+    for part in ranges:
+        size = part.b - part.a
+        if not made or held + size > limit:
+            made.append(Ranges([]))
+            held = 0
+        made[-1].parts.append(part)
+        held += size
+    return made
+
+
 class _Log:
     def __init__(self, options: dict):
         path = options["path"]
@@ -80,7 +103,8 @@ class _Log:
             source.seek(at)
             rest, begin = b"", at
             while begin < part.b:
-                data = source.read(BUFFER)
+                # no more than what is left of the split, but for the end of a last line
+                data = source.read(min(BUFFER, max(part.b - begin - len(rest), LINE)))
                 if not data:
                     break
                 data, rest = rest + data, b""
@@ -98,7 +122,7 @@ class _Log:
 
     @staticmethod
     def _next(source, at: int) -> int:
-        while data := source.read(BUFFER):
+        while data := source.read(LINE):
             found = data.find(b"\n")
             if found >= 0:
                 return at + found + 1
@@ -113,13 +137,14 @@ class _Log:
 
 class LineReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.log = _Log(options)
+        self.log, self.tasks = _Log(options), int(options.get("tasks", 1))
 
-    def partitions(self) -> list[Range]:
-        return self.log.ranges({}, self.log.sizes(), tail=True) or [Range("", 0, 0, 0, False)]
+    def partitions(self) -> list[Ranges]:
+        return shared(self.log.ranges({}, self.log.sizes(), tail=True), self.tasks) or [Ranges([])]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return self.log.lines(partition) if partition.b else iter(())
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for part in partition.parts:
+            yield from self.log.lines(part)
 
 
 class LineStream(DataSourceStreamReader):
@@ -202,5 +227,5 @@ class LineLog(DataSource):
 def read_line_log(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
     """``value, file, pos`` of a line log; a stream needs ``progress``, and takes ``start`` and ``bytesPerTrigger``."""
     spark.dataSource.register(LineLog)
-    reader = spark.readStream if stream else spark.read
+    reader = spark.readStream if stream else spark.read.option("tasks", 4 * spark.sparkContext.defaultParallelism)
     return reader.format("linelog").options(path=path, **options).load()
