@@ -85,16 +85,16 @@ PAGES = f"""{LOG}, whole AS (SELECT * FROM log WHERE seq % 97 <> 0), devices AS
 )"""
 
 
-def _stored_pages(spark, sf):
+def _stored_pages(spark, sf, parsed=None):
     path, staging = new_dir(spark, "split-log"), new_dir(spark, "split-staging")
     warehouse.write_log(fx.app_log_lines(spark, sf), path, staging)
-    return warehouse.stored_pages(spark, path)
+    return warehouse.stored_pages(spark, path, parsed)
 
 
 @query("traffic_window_pages", "WITH RECURSIVE " + _traffic(PAGES))
 def traffic_window_pages(spark, sf):
     """The summary as a job of its own, which reads the page output that the split has stored."""
-    return warehouse.traffic_summary(_stored_pages(spark, sf), "1 hour")
+    return warehouse.traffic_summary(_stored_pages(spark, sf, new_dir(spark, "split-pages")), "1 hour")
 
 
 @query(

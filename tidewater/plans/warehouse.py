@@ -121,10 +121,19 @@ def write_log(lines: DataFrame, path: str, staging: str, run: int | None = None)
     write_by_target(routes(repair_new_flag(log)).unionByName(dirty), path, "route", run)
 
 
-def stored_pages(spark: SparkSession, path: str) -> DataFrame:
-    """The page output of the log split that lies under ``path``, as log rows for the summaries; other routes are not read."""
+def stored_pages(spark: SparkSession, path: str, staging: str | None = None) -> DataFrame:
+    """The page output of the log split that lies under ``path``, as log rows for the summaries; other routes are not read.
+
+    Given ``staging``, the lines are parsed once into columns there, without the whole record, for summaries that read
+    their log more than once.
+    """
     lines = spark.read.parquet(path).where(F.col("route") == "page").select("value")
-    return app_log(lines)
+    log = app_log(lines)
+    if staging is None:
+        return log
+    columns = log.drop("record")
+    columns.write.mode("overwrite").parquet(staging)
+    return spark.read.schema(columns.schema).parquet(staging)
 
 
 def log_line_stream(lines: DataFrame) -> DataFrame:
