@@ -90,25 +90,25 @@ def detail_id() -> Column:
 
 def order_detail_changes(spark: SparkSession, sf: str) -> DataFrame:
     line, order, part = lines(spark, sf), table(spark, sf, "orders"), table(spark, sf, "part")
-    rows = line.join(order, line.l_orderkey == order.o_orderkey).join(part, line.l_partkey == part.p_partkey)
-    return _change(
-        rows,
-        "order_detail",
-        "insert",
-        _seconds(F.col("o_orderdate")),
-        {
-            "id": detail_id(),
-            "order_id": F.col("l_orderkey"),
-            "sku_id": F.col("l_partkey"),
-            "sku_name": F.col("p_name"),
-            "create_time": _when(F.col("o_orderdate")),
-            "sku_num": F.col("l_quantity").cast("int"),
-            "order_price": _money(F.col("l_extendedprice")),
-            "split_total_amount": _money(F.col("l_extendedprice")),
-            "split_activity_amount": _money(F.col("l_discount")),
-            "split_coupon_amount": _money(F.col("l_tax")),
-        },
+    # joined on the number as the log gives it, so that a join of the log by order finds the lines dealt by it already
+    same_order = _text(line.l_orderkey) == _text(order.o_orderkey)
+    rows = line.join(part, line.l_partkey == part.p_partkey).join(order, same_order)
+    price = _money(F.col("l_extendedprice"))
+    rows = rows.select(
+        _seconds(F.col("o_orderdate")).alias("ts"),
+        detail_id().alias("id"),
+        _text(F.col("l_orderkey")).alias("order_id"),
+        _text(F.col("l_partkey")).alias("sku_id"),
+        F.col("p_name").alias("sku_name"),
+        _when(F.col("o_orderdate")).alias("create_time"),
+        _text(F.col("l_quantity").cast("int")).alias("sku_num"),
+        price.alias("order_price"),
+        _money(F.col("l_discount")).alias("split_activity_amount"),
+        _money(F.col("l_tax")).alias("split_coupon_amount"),
     )
+    names = ("id", "order_id", "sku_id", "sku_name", "create_time", "sku_num", "order_price")
+    amounts = {"split_total_amount": F.col("order_price")} | {c: F.col(c) for c in ("split_activity_amount", "split_coupon_amount")}
+    return _change(rows, "order_detail", "insert", F.col("ts"), {c: F.col(c) for c in names} | amounts)
 
 
 def order_info_changes(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tidewater.functions.time import date_id, et_from_seconds
 from tidewater.functions.values import product_text
 from tidewater.operators.asof import as_of
 from tidewater.operators.changes import changed_to, changed_to_strict, pick, rows_of
-from tidewater.operators.skew import hot_join
+from tidewater.operators.skew import hot_join, likely_in
 
 
 def _shape(df: DataFrame, schema) -> DataFrame:
@@ -91,7 +91,8 @@ def cancel_shape(joined: DataFrame) -> DataFrame:
 
 def order_cancel(details: DataFrame, log: DataFrame, database: str) -> DataFrame:
     """Lines of cancelled orders; date and time are those of the cancellation."""
-    return cancel_shape(hot_join(details, cancelled_rows(log, database), {"order_id": "oc_id"}))
+    cancelled, order = cancelled_rows(log, database), {"order_id": "oc_id"}
+    return cancel_shape(hot_join(likely_in(details, cancelled, order), cancelled, order))
 
 
 def payment_rows(log: DataFrame, database: str) -> DataFrame:
@@ -102,7 +103,10 @@ def payment_rows(log: DataFrame, database: str) -> DataFrame:
 
 
 def pay_success_shape(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
-    named = lookup(joined, dictionary, "payment_type_code", "payment_type_name")
+    return _pay_shape(lookup(joined, dictionary, "payment_type_code", "payment_type_name"))
+
+
+def _pay_shape(named: DataFrame) -> DataFrame:
     return _shape(
         named.withColumnsRenamed({"id": "order_detail_id", "split_total_amount": "split_payment_amount"})
         .drop("ts")
@@ -122,8 +126,9 @@ def order_pay_success(
     """Lines of paid orders, the line being ``delay`` to ``before`` older than the payment (both inclusive)."""
     paid_at, made_at = et_from_seconds(F.col("pi_ts")), et_from_seconds(F.col("ts"))
     in_time = (made_at >= paid_at - F.expr(f"INTERVAL {before}")) & (made_at <= paid_at - F.expr(f"INTERVAL {delay}"))
-    joined = hot_join(details, payment_rows(log, database), {"order_id": "pi_order"}, extra=in_time)
-    return pay_success_shape(joined, dictionary)
+    # payments are few beside lines: those without a name for their kind go before they meet any
+    payments, order = lookup(payment_rows(log, database), dictionary, "payment_type_code", "payment_type_name"), {"order_id": "pi_order"}
+    return _pay_shape(hot_join(likely_in(details, payments, order), payments, order, extra=in_time))
 
 
 def refund_rows(log: DataFrame, database: str) -> DataFrame:
